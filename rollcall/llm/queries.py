@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollcall.llm.encode import encode_corpus, split_corpus
 from rollcall.llm.formatting import formatting_duplicates, json_fields
 from rollcall.llm.leakage import find_leaks
+from rollcall.llm.residue import find_residue
 from rollcall.session import table
 
 EVENT_FIELDS = ["name", "description", "classification", "start_date", "status", "location.name", "location.url"]
@@ -25,6 +26,14 @@ def p3_copies(spark: SparkSession, sf: str) -> DataFrame:
     return _p3(spark, sf)[1]
 
 
+def p6_residue(spark: SparkSession, sf: str) -> DataFrame:
+    return find_residue(table(spark, sf, "bill_version_document"), "version_doc_id", "source_url", "media_type", "raw_text")
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p6_residue(spark, sf).select("version_doc_id").distinct()
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode_corpus(table(spark, sf, "documents"), "doc_id", "text")
 
@@ -37,7 +46,7 @@ def p10_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return split_corpus(table(spark, sf, "documents"), "doc_id", "text", limit=512, overlap=64)
 
 
-QUERIES = {"p3_found": p3_found, "p3_copies": p3_copies, "p8_ids": p8_ids, "p9_found": p9_found, "p10_pieces": p10_pieces}
+QUERIES = {"p3_found": p3_found, "p3_copies": p3_copies, "p6_found": p6_found, "p6_residue": p6_residue, "p8_ids": p8_ids, "p9_found": p9_found, "p10_pieces": p10_pieces}
 
 _P3 = "WITH v AS (SELECT raw_id, jurisdiction_id AS j, " + ", ".join(
     f"coalesce(regexp_replace(lower(json_extract_string(record, '$.{f}')), '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '') AS f{i}" for i, f in enumerate(EVENT_FIELDS)
