@@ -7,12 +7,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollcall.llm.encode import encode_corpus, split_corpus
 from rollcall.llm.formatting import formatting_duplicates, json_fields
 from rollcall.llm.leakage import find_leaks
+from rollcall.llm.names import attribute_names
 from rollcall.llm.residue import find_residue
 from rollcall.session import table
 
 EVENT_FIELDS = ["name", "description", "classification", "start_date", "status", "location.name", "location.url"]
 
 
+def p1_posteriors(spark: SparkSession, sf: str) -> DataFrame:
+    scope = ["jurisdiction_id", "legislative_session"]
+    people = table(spark, sf, "person")
+    none = F.lit(None)
+    scraped = table(spark, sf, "scrape_person").select(*scope, "name", "district", none.cast("long").alias("hint"))
+    others = people.select(*scope, "person_no", "district", F.explode("other_names").alias("o")).select(*scope, F.col("o.name").alias("name"), "district", F.col("person_no").alias("hint"))
+    reports = table(spark, sf, "session_quality_report").select(*scope, F.explode(F.map_keys("unmatched_sponsor_people")).alias("name")).select(*scope, "name", none.cast("string").alias("district"), none.cast("long").alias("hint"))
+    full = people.select(*scope, "person_no", F.col("name").alias("full_name"), F.col("given_name").alias("given"), F.col("middle_name").alias("middle"), F.col("family_name").alias("family"), "suffix", "district")
+    return attribute_names(scraped.unionByName(others).unionByName(reports), full, scope, "name", "person_no")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p1_posteriors(spark, sf).select("jurisdiction_id", "legislative_session", "name", "person_no")
+
+
 def _p3(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     valid, content = json_fields(F.col("record"), EVENT_FIELDS)
     return formatting_duplicates(table(spark, sf, "event_raw"), "raw_id", ["jurisdiction_id"], content, valid)
@@ -46,7 +62,7 @@ def p10_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return split_corpus(table(spark, sf, "documents"), "doc_id", "text", limit=512, overlap=64)
 
 
-QUERIES = {"p3_found": p3_found, "p3_copies": p3_copies, "p6_found": p6_found, "p6_residue": p6_residue, "p8_ids": p8_ids, "p9_found": p9_found, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_posteriors": p1_posteriors, "p3_found": p3_found, "p3_copies": p3_copies, "p6_found": p6_found, "p6_residue": p6_residue, "p8_ids": p8_ids, "p9_found": p9_found, "p10_pieces": p10_pieces}
 
 _P3 = "WITH v AS (SELECT raw_id, jurisdiction_id AS j, " + ", ".join(
     f"coalesce(regexp_replace(lower(json_extract_string(record, '$.{f}')), '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '') AS f{i}" for i, f in enumerate(EVENT_FIELDS)
