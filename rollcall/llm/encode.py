@@ -144,7 +144,7 @@ def _units(e: Encoder, text: str, limit: int) -> tuple[np.ndarray, np.ndarray, n
     extra = []
     for j in np.nonzero(sizes > _LONG)[0].tolist():
         lead = len(parts[j]) - len(parts[j].lstrip())
-        t, c, k = _inside(e, parts[j], lead)
+        t, c, k = _inside(e, parts[j], lead if lead <= _LONG else 0)  # a long gap may be cut as well
         if t:
             extra.append((np.array(t) + tokens[j], np.array(c) + chars[j], np.array(k)))
     if extra:

@@ -246,7 +246,7 @@ def typed_keys(name: str) -> set[str]:
     keys: set[str] = set()
     for w in {*t.words, "".join(t.words[:2]), "".join(t.words[-2:]), "".join(t.words[-3:]), *(p for w in t.words for p in w.split("-"))}:
         keys |= _near(w)
-    return keys
+    return keys | {"<" + w[:3] for w, point in zip(t.words, t.pointed, strict=True) if point and 3 <= len(w) <= 6}
 
 
 def person_keys(p: Person | None) -> set[str]:
@@ -254,7 +254,7 @@ def person_keys(p: Person | None) -> set[str]:
         return set()
     keys: set[str] = set()
     for w in {p.family, *p.family_words, *(x for x in p.family.split("-"))}:
-        keys |= _near(w)
+        keys |= _near(w) | {"<" + w[:3]}
     return keys
 
 
