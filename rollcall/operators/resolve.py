@@ -43,20 +43,23 @@ def resolve_by_names(refs: DataFrame, name: str, people: DataFrame, person_id: s
     attributes = people.drop(*[s for s in scope])
 
     def pick(matches: DataFrame) -> DataFrame:
-        m = matches.join(attributes, person_id)
+        m = matches.select("__ref", person_id).distinct().join(attributes, person_id)
         if window:
             m = m.filter(overlaps(*window))
         live = F.when(F.col(current), F.col(person_id)) if current else F.lit(None)
-        g = m.groupBy("__ref").agg(F.count_distinct(person_id).alias("n"), F.min(person_id).alias("one"), F.count_distinct(live).alias("n_live"), F.min(live).alias("live"))
-        return g.select("__ref", "n", F.when(F.col("n") == 1, F.col("one")).when(F.col("n_live") == 1, F.col("live")).alias("found"))
+        g = m.groupBy("__ref").agg(F.count_distinct(person_id).alias("__n"), F.min(person_id).alias("__one"), F.count_distinct(live).alias("__n_live"), F.min(live).alias("__live"))
+        return g.select("__ref", "__n", F.when(F.col("__n") == 1, F.col("__one")).when(F.col("__n_live") == 1, F.col("__live")).alias("__found"))
 
-    by_name = pick(tagged.withColumn("key", F.lower(F.trim(F.regexp_replace(F.col(name), r"(?U)\s+", " ")))).join(keys, [*scope, "key"]))
+    spelt = tagged.select("__ref", *scope, F.lower(F.trim(F.regexp_replace(F.col(name), r"(?U)\s+", " "))).alias("__key"))
+    by_name = pick(spelt.join(keys.withColumnRenamed("key", "__key"), [*scope, "__key"]))
     out = tagged.join(by_name, "__ref", "left")
     if identifier and identifiers is not None:
-        by_id = pick(tagged.filter(F.col(identifier).isNotNull()).join(identifiers.withColumnRenamed("identifier", identifier), [*scope, identifier])).select("__ref", F.col("found").alias("by_id"))
-        out = out.join(by_id, "__ref", "left").withColumn("found", F.coalesce("by_id", "found")).drop("by_id")
-    n = F.coalesce("n", F.lit(0))
-    return out.withColumn("status", F.when(F.col("found").isNotNull(), "resolved").when(n > 1, "ambiguous").otherwise("unresolved")).withColumnRenamed("found", "resolved_id").drop("__ref", "n")
+        given = tagged.filter(F.col(identifier).isNotNull()).select("__ref", *scope, F.col(identifier).alias("identifier"))
+        by_id = pick(given.join(identifiers, [*scope, "identifier"])).select("__ref", F.col("__found").alias("__by_id"))
+        out = out.join(by_id, "__ref", "left").withColumn("__found", F.coalesce("__by_id", "__found")).drop("__by_id")
+    n = F.coalesce("__n", F.lit(0))
+    status = F.when(F.col("__found").isNotNull(), "resolved").when(n > 1, "ambiguous").otherwise("unresolved")
+    return out.withColumn("status", status).withColumnRenamed("__found", "resolved_id").drop("__ref", "__n")
 
 
 def resolve_organization(refs: DataFrame, name: str, orgs: DataFrame, org_id: str, normal: Column, scope: list[str], party: Column | None = None) -> DataFrame:
@@ -73,24 +76,23 @@ def resolve_organization(refs: DataFrame, name: str, orgs: DataFrame, org_id: st
 def session_of_date(facts: DataFrame, date: str, sessions: DataFrame, start: str, end: str, session_id: str, scope: list[str] | None = None, most: int = 100_000) -> DataFrame:
     """The session whose [start, end] holds the date; with none or several, the newest session of the scope.
 
-    Sessions are a small dimension, broadcast only if counted within ``most``; beyond that the join is by scope.
+    Only the distinct dates of a scope meet its sessions, and facts get the result by an equi join: the range
+    condition is tried days x sessions times, not facts x sessions. Sessions are broadcast only if counted within
+    ``most``. A null date takes the newest session.
     """
     scope = scope or []
+    facts = facts.withColumn("__date", F.coalesce(F.col(date).cast("string"), F.lit("")))
     newest = sessions.groupBy(*scope).agg(F.max_by(session_id, F.struct(start, session_id)).alias("__newest"))
-    small = sessions.limit(most + 1).count() <= most
-    s = sessions.select(*scope, F.col(session_id).alias("__session"), F.col(start).alias("__start"), F.col(end).alias("__end"))
-    facts = facts.withColumn("__fact", F.monotonically_increasing_id())
-    hit = F.col("__session").isNotNull()
-    cond = holds(F.col(date), F.col("__start"), F.col("__end"))
+    s = sessions.select(*[F.col(c).alias(f"__s_{c}") for c in scope], F.col(session_id).alias("__session"), F.col(start).alias("__start"), F.col(end).alias("__end"))
+    cond = (F.col("__date") != "") & holds(F.col("__date"), F.col("__start"), F.col("__end"))
     for c in scope:
-        cond = cond & (facts[c] == s[c])
-    joined = facts.join(F.broadcast(s) if small else s, cond, "left")
-    for c in scope:
-        joined = joined.drop(s[c])
-    keep = [c for c in facts.columns]
-    one = joined.groupBy(*keep).agg(F.count_if(hit).alias("__n"), F.min("__session").alias("__one"))
-    out = one.join(F.broadcast(newest), scope, "left") if scope else one.crossJoin(F.broadcast(newest))  # one row
-    return out.withColumn("session_id", F.when(F.col("__n") == 1, F.col("__one")).otherwise(F.col("__newest"))).withColumn("exact", F.col("__n") == 1).drop("__n", "__one", "__newest", "__fact")
+        cond = cond & (F.col(c) == F.col(f"__s_{c}"))
+    small = sessions.limit(most + 1).count() <= most
+    dates = facts.select(*scope, "__date").distinct().join(F.broadcast(s) if small else s, cond, "left")
+    found = dates.groupBy(*scope, "__date").agg(F.count("__session").alias("__n"), F.min("__session").alias("__one"))
+    found = found.join(newest, scope, "left") if scope else found.crossJoin(F.broadcast(newest))  # one row
+    found = found.select(*scope, "__date", F.when(F.col("__n") == 1, F.col("__one")).otherwise(F.col("__newest")).alias("session_id"), (F.col("__n") == 1).alias("exact"))
+    return facts.join(found, [*scope, "__date"], "left").drop("__date")
 
 
 def link_last(sources: DataFrame, targets: DataFrame, on: list[str], target_id: str, order: list[str], out: str) -> DataFrame:

@@ -107,7 +107,7 @@ def read_yaml(spark: SparkSession, path: str, schema: str) -> DataFrame:
             yield pd.DataFrame({"path": pdf["path"], "record": [json.dumps({k: r.get(k) for k in fields}, default=str) for r in rows],
                                 "unknown": [sorted(set(r) - set(fields)) for r in rows]})
 
-    text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     parsed = text.mapInPandas(parse, "path string, record string, unknown array<string>")
     return parsed.withColumn("r", F.from_json("record", schema)).select("path", "unknown", "r.*")
 
@@ -176,3 +176,9 @@ class _ScraperReader(DataSourceReader):
         package, _, function = self.module.partition(":")
         for record in getattr(importlib.import_module(package), function)(partition.value):
             yield tuple(record.get(n) for n in self.names)
+
+
+def numbers(part: int):
+    """The smallest generator a source can name: two records a part."""
+    for n in range(2):
+        yield {"part": str(part), "n": str(n)}
