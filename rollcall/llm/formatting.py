@@ -8,8 +8,8 @@ from rollcall.operators.skew import HOT_ROWS, attach_by_key
 from rollcall.session import cut
 
 _NOT_ALNUM = r"[^\p{L}\p{N}]+"
-#: characters whose counts are the letter histogram of the first refinement
-_LETTERS = "etaoinsr0123"
+#: groups of characters whose counts are the letter histogram of the first refinement
+_LETTERS = ("etao", "insr", "0123456789")
 
 
 def stripped(value: Column) -> Column:
