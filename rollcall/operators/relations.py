@@ -67,3 +67,26 @@ def entity_name(kind: Column, names: dict[str, Column]) -> Column:
     for k, c in names.items():
         out = F.when(kind == k, c) if out is None else out.when(kind == k, c)
     return out
+
+
+def group_links(df: DataFrame, collection: list[str], url: str, group: list[str], order: str) -> tuple[DataFrame, DataFrame]:
+    """(links by group, dropped): the first of each address in a collection counts, whatever group later ones are in."""
+    first = df.groupBy(*collection, url).agg(F.min(order).alias("__first"))
+    marked = df.join(first, [*collection, url])
+    kept = marked.filter(F.col(order) == F.col("__first")).groupBy(*collection, *group).agg(F.array_sort(F.collect_list(F.struct(order, url))).alias("links"))
+    return kept, marked.filter(F.col(order) != F.col("__first")).drop("__first")
+
+
+def district_of(df: DataFrame, division: str, districts: DataFrame) -> DataFrame:
+    """State, chamber and name of the district a division is: ``districts`` (division_id, state, chamber, name) has each once."""
+    kind = F.when(F.col(division).contains("/sldl:"), "lower").when(F.col(division).contains("/sldu:"), "upper")
+    return df.withColumn("division_chamber", kind).join(districts.withColumnRenamed("division_id", division), division, "left")
+
+
+def lookup(refs: DataFrame, value: str, dimension: DataFrame, keys: list[str], out: list[str]) -> DataFrame:
+    """A dimension row by any of its keys; a value that fits none has nulls and ``found`` false."""
+    parts = [dimension.select(F.col(k).alias(value), *out) for k in keys]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return refs.join(union.filter(F.col(value).isNotNull()).dropDuplicates([value]).withColumn("found", F.lit(True)), value, "left").fillna(False, ["found"])

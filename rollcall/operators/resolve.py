@@ -34,32 +34,34 @@ def resolve_by_names(refs: DataFrame, name: str, people: DataFrame, person_id: s
                      window: tuple[Column, Column, Column, Column] | None = None, identifier: str | None = None, identifiers: DataFrame | None = None) -> DataFrame:
     """References by name (any name of ``keys``), an identifier first if there is one, with interval overlap and tie-break.
 
-    ``window`` = (member start, member end, session start, session end) keeps only people who can have served;
+    ``window`` = (member start, member end, session start, session end; columns of ``people`` or literals) keeps only people who can have served;
     of several people left the only one with ``current`` (a boolean column of ``people``) is taken. An identifier that fits
     nobody or several falls through to names. Branches are unioned equi joins, never an OR of conditions.
     """
     scope = scope or []
-    tagged = refs.withColumn("__ref", F.monotonically_increasing_id())
-    attributes = people.drop(*[s for s in scope])
+    key = F.coalesce(F.lower(F.trim(F.regexp_replace(F.col(name), r"(?U)\s+", " "))), F.lit(""))
+    ident = F.coalesce(F.col(identifier).cast("string"), F.lit("")) if identifier else F.lit("")
+    tagged = refs.withColumn("__key", key).withColumn("__ident", ident)
+    ref = [*scope, "__key", "__ident"]
+    wanted = tagged.select(*ref).distinct()  # a name that a third of the rows hold is resolved once
+    attributes = people.drop(*scope)
 
     def pick(matches: DataFrame) -> DataFrame:
-        m = matches.select("__ref", person_id).distinct().join(attributes, person_id)
+        m = matches.select(*ref, person_id).distinct().join(attributes, person_id)
         if window:
             m = m.filter(overlaps(*window))
         live = F.when(F.col(current), F.col(person_id)) if current else F.lit(None)
-        g = m.groupBy("__ref").agg(F.count_distinct(person_id).alias("__n"), F.min(person_id).alias("__one"), F.count_distinct(live).alias("__n_live"), F.min(live).alias("__live"))
-        return g.select("__ref", "__n", F.when(F.col("__n") == 1, F.col("__one")).when(F.col("__n_live") == 1, F.col("__live")).alias("__found"))
+        g = m.groupBy(*ref).agg(F.count_distinct(person_id).alias("__n"), F.min(person_id).alias("__one"), F.count_distinct(live).alias("__n_live"), F.min(live).alias("__live"))
+        return g.select(*ref, "__n", F.when(F.col("__n") == 1, F.col("__one")).when(F.col("__n_live") == 1, F.col("__live")).alias("__found"))
 
-    spelt = tagged.select("__ref", *scope, F.lower(F.trim(F.regexp_replace(F.col(name), r"(?U)\s+", " "))).alias("__key"))
-    by_name = pick(spelt.join(keys.withColumnRenamed("key", "__key"), [*scope, "__key"]))
-    out = tagged.join(by_name, "__ref", "left")
+    found = wanted.join(pick(wanted.join(keys.withColumnRenamed("key", "__key"), [*scope, "__key"])), ref, "left")
     if identifier and identifiers is not None:
-        given = tagged.filter(F.col(identifier).isNotNull()).select("__ref", *scope, F.col(identifier).alias("identifier"))
-        by_id = pick(given.join(identifiers, [*scope, "identifier"])).select("__ref", F.col("__found").alias("__by_id"))
-        out = out.join(by_id, "__ref", "left").withColumn("__found", F.coalesce("__by_id", "__found")).drop("__by_id")
+        by_id = pick(wanted.join(identifiers.withColumnRenamed("identifier", "__ident"), [*scope, "__ident"])).select(*ref, F.col("__found").alias("__by_id"))
+        found = found.join(by_id, ref, "left").withColumn("__found", F.coalesce("__by_id", "__found")).drop("__by_id")
+    out = tagged.join(found, ref, "left")
     n = F.coalesce("__n", F.lit(0))
     status = F.when(F.col("__found").isNotNull(), "resolved").when(n > 1, "ambiguous").otherwise("unresolved")
-    return out.withColumn("status", status).withColumnRenamed("__found", "resolved_id").drop("__ref", "__n")
+    return out.withColumn("status", status).withColumnRenamed("__found", "resolved_id").drop("__key", "__ident", "__n")
 
 
 def resolve_organization(refs: DataFrame, name: str, orgs: DataFrame, org_id: str, normal: Column, scope: list[str], party: Column | None = None) -> DataFrame:
