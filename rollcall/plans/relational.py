@@ -158,7 +158,7 @@ def q14_resolve_by_names(spark, sf):
 
 
 @probe(r"""WITH s AS (SELECT DISTINCT legislative_session AS sid, CAST(2008 + CAST(left(legislative_session, 3) AS INTEGER) - 100 AS VARCHAR) || '-01-01' AS st, CASE WHEN legislative_session LIKE '%R' THEN '' ELSE CAST(2009 + CAST(left(legislative_session, 3) AS INTEGER) - 100 AS VARCHAR) || '-06-30' END AS en FROM person WHERE regexp_full_match(legislative_session, '\d{3}-.*')),
- f AS (SELECT row_id, strftime(scraped_at, '%Y-%m-%d') AS d FROM bill_snapshot WHERE snapshot_no = 1), newest AS (SELECT arg_max(sid, (st, sid)) AS sid FROM s),
+ f AS (SELECT row_id, strftime(scraped_at, '%Y-%m-%d') AS d FROM bill_snapshot), newest AS (SELECT arg_max(sid, (st, sid)) AS sid FROM s),
  j AS (SELECT row_id, count(sid) AS n, min(sid) AS one FROM f LEFT JOIN s ON d >= st AND (en = '' OR d <= en) GROUP BY 1)
  SELECT row_id, CASE WHEN n = 1 THEN one ELSE (SELECT sid FROM newest) END AS session_id, n = 1 AS exact FROM j""")
 def q15_session_of_date(spark, sf):
@@ -167,7 +167,7 @@ def q15_session_of_date(spark, sf):
     s = (table(spark, sf, "person").filter(sid.rlike(r"^\d{3}-.*$")).select(sid.alias("sid")).distinct()
          .withColumn("legislative_session", F.col("sid"))
          .select("sid", F.concat((number + 2008).cast("string"), F.lit("-01-01")).alias("start"), F.when(sid.endswith("R"), "").otherwise(F.concat((number + 2009).cast("string"), F.lit("-06-30"))).alias("end")))
-    facts = table(spark, sf, "bill_snapshot").filter("snapshot_no = 1").select("row_id", F.date_format("scraped_at", "yyyy-MM-dd").alias("d"))
+    facts = table(spark, sf, "bill_snapshot").select("row_id", F.date_format("scraped_at", "yyyy-MM-dd").alias("d"))
     return resolve.session_of_date(facts, "d", s, "start", "end", "sid").select("row_id", "session_id", "exact")
 
 
@@ -427,15 +427,19 @@ def q59_match_key_conflicts(spark, sf):
     return upsert.duplicate_targets(rows, ["match_key"])
 
 
-@probe("""WITH n AS (SELECT person_no, lower(name) AS nm, district, chamber FROM person WHERE person_no % 2 = 0), o AS (SELECT person_no, lower(name) AS nm, district, chamber FROM person WHERE person_no % 3 = 0),
- b AS (SELECT n.person_no, o.person_no AS o, n.nm = o.nm AS sn, n.district IS NOT DISTINCT FROM o.district AND n.chamber IS NOT DISTINCT FROM o.chamber AS sr FROM n JOIN o ON n.nm = o.nm OR (n.district = o.district AND n.chamber = o.chamber)),
- m AS (SELECT person_no, arg_min(o, (NOT (sn AND sr), NOT sn, o)) AS old_no, arg_min(sn AND sr, (NOT (sn AND sr), NOT sn, o)) AS both_same FROM b GROUP BY 1)
- SELECT n.person_no AS new_no, old_no, CASE WHEN m.old_no IS NULL THEN 'new' WHEN both_same THEN 'auto' ELSE 'review' END AS decision FROM n LEFT JOIN m USING (person_no)""")
+_KEYS = "jurisdiction_id || '|' || legislative_session || '|'"
+
+
+@probe(f"""WITH n AS (SELECT scrape_id, {_KEYS} || lower(name) AS nm, {_KEYS} || chamber || '|' || district AS seat FROM scrape_person), o AS (SELECT person_no, {_KEYS} || lower(name) AS nm, {_KEYS} || chamber || '|' || district AS seat FROM person),
+ b AS (SELECT scrape_id, o.person_no AS o, coalesce(n.nm = o.nm, false) AS sn, n.seat IS NOT DISTINCT FROM o.seat AS sr FROM n JOIN o ON n.nm = o.nm UNION SELECT scrape_id, o.person_no, coalesce(n.nm = o.nm, false), n.seat IS NOT DISTINCT FROM o.seat FROM n JOIN o ON n.seat = o.seat),
+ m AS (SELECT scrape_id, arg_min(o, (NOT (sn AND sr), NOT sn, o)) AS person_no, arg_min(sn AND sr, (NOT (sn AND sr), NOT sn, o)) AS both_same FROM b GROUP BY 1)
+ SELECT n.scrape_id, person_no, CASE WHEN person_no IS NULL THEN 'new' WHEN both_same THEN 'auto' ELSE 'review' END AS decision FROM n LEFT JOIN m USING (scrape_id)""")
 def q60_match_people(spark, sf):
-    p = table(spark, sf, "person").select("person_no", F.lower("name").alias("nm"), "district", "chamber")
-    new = p.filter("person_no % 2 = 0").withColumnRenamed("person_no", "new_no").withColumn("seats", F.lit(1))
-    old = p.filter("person_no % 3 = 0").withColumnRenamed("person_no", "old_no")
-    return resolve.match_people(new, old, "new_no", "old_no", "nm", ["district", "chamber"], "seats")
+    scope = F.concat_ws("|", "jurisdiction_id", "legislative_session")
+    both = lambda t, k: table(spark, sf, t).filter("jurisdiction_id is not null and legislative_session is not null").select(
+        k, F.concat(scope, F.lit("|"), F.lower("name")).alias("nm"), F.concat(scope, F.lit("|"), F.col("chamber"), F.lit("|"), F.col("district")).alias("seat"))
+    new = both("scrape_person", "scrape_id").withColumn("seats", F.lit(1))
+    return resolve.match_people(new, both("person", "person_no"), "scrape_id", "person_no", "nm", ["seat"], "seats")
 
 
 @probe("""SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 10 = 0 THEN l_partkey + 1 ELSE l_partkey END AS l_partkey FROM lineitem""")
