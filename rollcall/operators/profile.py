@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+#: Row groups are spread over at most so many tasks.
+MAX_TASKS = 20_000
 _COUNTS = "grp long, column_name string, value string, n long, decoded boolean"
 
 
@@ -36,7 +38,9 @@ def value_counts(spark: SparkSession, path: str, group: str, columns: list[str])
                 yield from _chunk_counts(p, i, group, columns)
 
     units = files.mapInArrow(footers, "path string, row_group int")
-    return units.repartition("path", "row_group").mapInArrow(counts, _COUNTS)
+    # the units are a few bytes each but stand for whole row groups: a fixed number of tasks, not one by their size
+    tasks = min(MAX_TASKS, max(spark.sparkContext.defaultParallelism, 4 * files.count()))
+    return units.repartition(tasks).mapInArrow(counts, _COUNTS)
 
 
 def _opened(path: str):
