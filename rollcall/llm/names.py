@@ -291,19 +291,23 @@ def attribute_names(typed: DataFrame, people: DataFrame, scope: list[str], name:
     prior = spelt.select(*scope, F.col("name").alias("full_name"), F.col("n").alias("prior"))
     full = full.join(prior, [*scope, "full_name"], "left")
 
-    sides = {"n": "name string", "p": "number long"}
-    kinds = ", ".join(f"`{c}` {people.schema[c].dataType.simpleString()}" for c in scope)
-    t_keys = spelt.select(*scope, "name").mapInArrow(_keys_of(len(scope), lambda x: typed_keys(x[0])), f"{kinds}, {sides['n']}, key string")
-    p_keys = full.select(*scope, "number", "full_name", "given", "middle", "family", "suffix").mapInArrow(
-        _keys_of(len(scope), lambda x: person_keys(person(*(y or "" for y in x[1:])) if x[1] else None), 1), f"{kinds}, {sides['p']}, key string")
-    pairs = t_keys.join(p_keys, [*scope, "key"]).groupBy(*scope, "name", "number").agg(F.count("*").alias("shared"))
-    hinted = spelt.filter("hint is not null").select(*scope, "name", F.col("hint").alias("number"))
-    pairs = pairs.drop("shared").unionByName(hinted).distinct()
-    rich = pairs.join(spelt.select(*scope, "name", "district", "hint"), [*scope, "name"]).join(full, [*scope, "number"])
+    # keys travel as hashes: a collision only adds a candidate, which is scored and held to its own scope
+    spelt = spelt.withColumn("sid", F.xxhash64(*scope, "name"))
+    t_keys = spelt.select(F.xxhash64(*scope).alias("sh"), "sid", "name").mapInArrow(_keys_of(lambda x: typed_keys(x[0])), "sh long, id long, key string")
+    p_keys = full.select(F.xxhash64(*scope).alias("sh"), "number", "full_name", "given", "middle", "family", "suffix").mapInArrow(
+        _keys_of(lambda x: person_keys(person(*(y or "" for y in x))) if x[0] else set()), "sh long, id long, key string")
+    hashed = lambda df, name: df.select(F.xxhash64("sh", "key").alias("key"), F.col("id").alias(name))
+    pairs = hashed(t_keys, "sid").join(hashed(p_keys, "number"), "key").select("sid", "number")
+    pairs = pairs.unionByName(spelt.filter("hint is not null").select("sid", F.col("hint").alias("number"))).distinct()
+    own = full.select("number", *[F.col(c).alias(f"__{c}") for c in scope], "full_name", "given", "middle", "family", "suffix", "home", "prior")
+    same = F.lit(True)
+    for c in scope:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    rich = pairs.join(spelt.select(*scope, "sid", "name", "district", "hint"), "sid").join(own, "number").filter(same)
     scored = rich.select(*scope, "name", "number", "full_name", "given", "middle", "family", "suffix",
                          (F.col("hint").eqNullSafe(F.col("number"))).alias("own"), (F.col("district") == F.col("home")).alias("near"), "prior")
-    schema = f"{kinds}, name string, number long, cost double, score double"
-    scored = scored.mapInArrow(_score(len(scope), nobody), schema)
+    kinds = ", ".join(f"`{c}` {people.schema[c].dataType.simpleString()}" for c in scope)
+    scored = scored.mapInArrow(_score(len(scope), nobody), f"{kinds}, name string, number long, cost double, score double")
     # a spelling has few candidates: those that share a key with it
     by_score = Window.partitionBy(*scope, "name").orderBy(F.desc("score"), "number")
     best = (scored.withColumn("rank", F.row_number().over(by_score)).withColumn("next", F.lead("score").over(by_score))
@@ -312,16 +316,14 @@ def attribute_names(typed: DataFrame, people: DataFrame, scope: list[str], name:
             .select(*scope, F.col("name").alias(name), F.col("number").alias(number), (F.exp("score") / F.col("all")).alias("posterior"), "cost"))
 
 
-def _keys_of(scope: int, keys, kept: int | None = None):
+def _keys_of(keys):
+    """(scope hash, id, values ...) to a row for each key of the values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns[scope:]), strict=True))
-            found = [sorted(keys(r)) for r in rows]
+            found = [sorted(keys(r)) for r in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
             at = pa.array([i for i, ks in enumerate(found) for _ in ks], pa.int64())
             flat = pa.array([k for ks in found for k in ks], pa.string())
-            first = batch.select([*batch.schema.names[:scope], batch.schema.names[scope]])
-            columns = [c.take(at) for c in first.columns]
-            yield pa.RecordBatch.from_arrays([*columns, flat], names=[*first.schema.names, "key"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), flat], names=["sh", "id", "key"])
     return run
 
 
