@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from rollcall.session import cut
+
+#: Boilerplate of up to so many characters in all is broadcast, more is joined by shuffle.
+BROADCAST_CHARS = 32_000_000
 
 # fixed values: how templates write a place to be filled
 _NAME = r"[a-z][\w.]*(?: [\w.]+){0,3}"
@@ -117,25 +122,27 @@ def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share
     Method. Normalised lines are counted by the address's host over all records (partial counts, so a host with a third of the
     rows is one counter a line). A line without evidence that recurs in at least ``least`` records and in a
     ``share`` of its host's records beside different lines (a heading, a menu) is boilerplate and subtracted.
-    Single-line texts have nothing to subtract, so only texts of several lines are counted and joined.
+    Only texts of several lines are counted. Two passes over the records; texts are not shuffled unless the
+    boilerplate of all hosts together is more than ``BROADCAST_CHARS`` characters.
     """
-    rows = df.select(F.col(key).alias("k"), F.regexp_extract(F.coalesce(F.lower(F.col(url)), F.lit("")), r"^\s*[a-z]+://([^/?#\s]+)", 1).alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), F.col(text).alias("t"))
-    fields = rows.select("k", F.explode(F.array(
+    host = F.regexp_extract(F.coalesce(F.lower(F.col(url)), F.lit("")), r"^\s*[a-z]+://([^/?#\s]+)", 1)
+    rows = df.select(F.col(key).alias("k"), host.alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), normalised_lines(F.col(text)).alias("lines"))
+    several = rows.filter(F.size("lines") > 1)
+    # the empty line stands for the record itself
+    counted = several.select("h", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.transform("lines", _masked)))).alias("line")).groupBy("h", "line").agg(F.count("*").alias("n"))
+    total = F.sum(F.when(F.col("line") == "", F.col("n"))).over(Window.partitionBy("h"))
+    boiler = (counted.filter(F.col("n") >= least).withColumn("records", total).filter((F.col("line") != "") & (F.col("n") >= share * F.col("records")) & evidence_in_line(F.col("line")).isNull())
+              .groupBy("h").agg(F.collect_set("line").alias("boiler")))  # at most 1 / share lines a host and line of a record
+    boiler = cut(boiler)
+    size = boiler.agg(F.sum(F.aggregate("boiler", F.lit(0).cast("long"), lambda n, x: n + F.length(x)))).first()[0] or 0
+    joined = rows.join(F.broadcast(boiler) if size <= BROADCAST_CHARS else boiler, "h", "left")
+    no_lines = F.array().cast("array<string>")
+    residual = F.array_join(F.filter("lines", lambda x: ~F.array_contains(F.coalesce("boiler", no_lines), _masked(x))), "\n")
+    judged = joined.withColumn("residual", residual).select("k", F.explode(F.array(
         F.struct(F.lit(url).alias("field"), evidence_in_url(F.col("u")).alias("kind")),
-        F.struct(F.lit(media).alias("field"), evidence_in_media_type(F.col("m")).alias("kind")))).alias("f")).select("k", "f.*").filter("kind is not null")
-
-    texts = rows.filter(F.col("t").isNotNull()).select("k", "h", normalised_lines(F.col("t")).alias("lines")).filter(F.size("lines") > 0)
-    single = texts.filter(F.size("lines") == 1).select("k", F.get("lines", F.lit(0)).alias("residual"))
-    several = texts.filter(F.size("lines") > 1)
-    line_counts = (several.select("h", F.explode(F.array_distinct(F.transform("lines", _masked))).alias("line")).groupBy("h", "line").agg(F.count("*").alias("n")))
-    host_counts = several.groupBy("h").agg(F.count("*").alias("records"))
-    boiler = (line_counts.filter(F.col("n") >= least).join(host_counts, "h")
-              .filter((F.col("n") >= share * F.col("records")) & evidence_in_line(F.col("line")).isNull())
-              .groupBy("h").agg(F.collect_set("line").alias("boiler")))  # at most 1 / share lines a host
-    left = several.join(boiler, "h", "left").select(
-        "k", F.array_join(F.filter("lines", lambda x: ~F.array_contains(F.coalesce("boiler", F.array().cast("array<string>")), _masked(x))), "\n").alias("residual"))
-    judged = single.unionByName(left).withColumn("kind", evidence_in_residual(F.col("residual"), content_words)).filter("kind is not null")
-    return fields.unionByName(judged.select("k", F.lit(text).alias("field"), "kind")).distinct().select(F.col("k").alias(key), "field", "kind")
+        F.struct(F.lit(media).alias("field"), evidence_in_media_type(F.col("m")).alias("kind")),
+        F.struct(F.lit(text).alias("field"), evidence_in_residual(F.col("residual"), content_words).alias("kind")))).alias("f")).select("k", "f.*").filter("kind is not null")
+    return judged.distinct().select(F.col("k").alias(key), "field", "kind")
 
 
 def evidence_in_residual(residual: Column, content_words: int) -> Column:
