@@ -158,7 +158,7 @@ def q14_resolve_by_names(spark, sf):
 
 
 @probe(r"""WITH s AS (SELECT DISTINCT legislative_session AS sid, CAST(2008 + CAST(left(legislative_session, 3) AS INTEGER) - 100 AS VARCHAR) || '-01-01' AS st, CASE WHEN legislative_session LIKE '%R' THEN '' ELSE CAST(2009 + CAST(left(legislative_session, 3) AS INTEGER) - 100 AS VARCHAR) || '-06-30' END AS en FROM person WHERE regexp_full_match(legislative_session, '\d{3}-.*')),
- f AS (SELECT row_id, strftime(scraped_at, '%Y-%m-%d') AS d FROM bill_snapshot), newest AS (SELECT arg_max(sid, (st, sid)) AS sid FROM s),
+ f AS (SELECT row_id, strftime(scraped_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS d FROM bill_snapshot), newest AS (SELECT arg_max(sid, (st, sid)) AS sid FROM s),
  j AS (SELECT row_id, count(sid) AS n, min(sid) AS one FROM f LEFT JOIN s ON d >= st AND (en = '' OR d <= en) GROUP BY 1)
  SELECT row_id, CASE WHEN n = 1 THEN one ELSE (SELECT sid FROM newest) END AS session_id, n = 1 AS exact FROM j""")
 def q15_session_of_date(spark, sf):
