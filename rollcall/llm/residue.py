@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.session import cut
 
-#: Boilerplate of up to so many characters in all is broadcast, more is joined by shuffle.
-BROADCAST_CHARS = 32_000_000
+#: Boilerplate (a hash a line) of up to so many bytes in all is broadcast, more is joined by shuffle.
+BROADCAST_BYTES = 32_000_000
 
 # fixed values: how templates write a place to be filled
 _NAME = r"[a-z][\w.]*(?: [\w.]+){0,3}"
@@ -110,7 +110,7 @@ def evidence_in_line(line: Column) -> Column:
     return (F.when(_placeholder(line), "placeholder").when(_suspicious(line, FILLER), "filler").when(_suspicious(line, ERRORS), "error").when(_suspicious(line, SCRIPTS), "scripts"))
 
 
-def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share: float = 0.002, least: int = 20, content_words: int = 25) -> DataFrame:
+def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share: float = 0.002, z: float = 1.96, content_words: int = 25) -> DataFrame:
     """(``key``, ``field``, ``kind``) of every field that holds residue instead of content.
 
     ``kind``: ``placeholder``, ``filler``, ``error`` or ``scripts``. Null and blank fields hold nothing. A text
@@ -119,25 +119,22 @@ def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share
     such sentences: longer texts merely mention them. Rows with a null key are reported under it, repeated rows
     once, empty tables give nothing.
 
-    Method. Normalised lines are counted by the address's host over all records (partial counts, so a host with a third of the
-    rows is one counter a line). A line without evidence that recurs in at least ``least`` records and in a
-    ``share`` of its host's records beside different lines (a heading, a menu) is boilerplate and subtracted.
-    Only texts of several lines are counted. Two passes over the records; texts are not shuffled unless the
-    boilerplate of all hosts together is more than ``BROADCAST_CHARS`` characters.
+    Method. Normalised lines of all texts are counted by the address's host (partial counts, so a host with a third
+    of the rows is one counter a line). What counts isn't how often a line occurs but in how many surroundings: copies
+    and versions of one document share their longest lines and count once. A line without evidence is boilerplate
+    (a heading, a menu) and subtracted if it recurs beside different evidence lines of its host, however few, or beside
+    different longest other lines, as many that their share of the host's different texts is at least ``share`` by the
+    lower bound of its Wilson interval (``z`` deviations). Two passes over the records; lines are counted as hashes, texts
+    are not shuffled unless the boilerplate of all hosts together is more than ``BROADCAST_BYTES``.
     """
     host = F.regexp_extract(F.coalesce(F.lower(F.col(url)), F.lit("")), r"^\s*[a-z]+://([^/?#\s]+)", 1)
     rows = df.select(F.col(key).alias("k"), host.alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), normalised_lines(F.col(text)).alias("lines"))
-    several = rows.filter(F.size("lines") > 1)
-    # the empty line stands for the record itself
-    counted = several.select("h", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.transform("lines", _masked)))).alias("line")).groupBy("h", "line").agg(F.count("*").alias("n"))
-    total = F.sum(F.when(F.col("line") == "", F.col("n"))).over(Window.partitionBy("h"))
-    boiler = (counted.filter(F.col("n") >= least).withColumn("records", total).filter((F.col("line") != "") & (F.col("n") >= share * F.col("records")) & evidence_in_line(F.col("line")).isNull())
-              .groupBy("h").agg(F.collect_set("line").alias("boiler")))  # at most 1 / share lines a host and line of a record
-    boiler = cut(boiler)
-    size = boiler.agg(F.sum(F.aggregate("boiler", F.lit(0).cast("long"), lambda n, x: n + F.length(x)))).first()[0] or 0
-    joined = rows.join(F.broadcast(boiler) if size <= BROADCAST_CHARS else boiler, "h", "left")
-    no_lines = F.array().cast("array<string>")
-    residual = F.array_join(F.filter("lines", lambda x: ~F.array_contains(F.coalesce("boiler", no_lines), _masked(x))), "\n")
+    boiler = cut(_boilerplate(rows.filter(F.size("lines") > 0).select("h", "lines"), share, z))
+    size = boiler.agg(F.sum(F.size("boiler") * F.lit(8).cast("long"))).first()[0] or 0
+    joined = rows.join(F.broadcast(boiler) if size <= BROADCAST_BYTES else boiler, "h", "left")
+    no_lines = F.array().cast("array<bigint>")
+    framing = lambda x: F.array_contains(F.coalesce("boiler", no_lines), F.xxhash64(_masked(x))) & evidence_in_line(x).isNull()
+    residual = F.array_join(F.filter("lines", lambda x: ~framing(x)), "\n")
     judged = joined.withColumn("residual", residual).select("k", F.explode(F.array(
         F.struct(F.lit(url).alias("field"), evidence_in_url(F.col("u")).alias("kind")),
         F.struct(F.lit(media).alias("field"), evidence_in_media_type(F.col("m")).alias("kind")),
@@ -145,6 +142,33 @@ def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share
     return judged.distinct().select(F.col("k").alias(key), "field", "kind")
 
 
+def _boilerplate(texts: DataFrame, share: float, z: float) -> DataFrame:
+    """(``h``, ``boiler``): hashes of the lines that recur in different surroundings of texts (``h``, ``lines``)."""
+    whole = F.array_join("lines", "\n")
+    # evidence is looked for line by line only where the text as a whole holds some
+    first = F.when((F.size("lines") > 1) & (_placeholder(whole) | _suspicious(whole, [*FILLER, *ERRORS, *SCRIPTS])),
+                   F.try_element_at(F.filter("lines", lambda x: evidence_in_line(x).isNotNull()), F.lit(1)))
+    masked = F.array_distinct(F.transform("lines", _masked))
+    longest = F.slice(F.array_sort(F.transform("lines_", lambda x: F.struct((-F.length(x)).alias("o"), F.xxhash64(x).alias("x")))), 1, 2)
+    marked = texts.select("h", masked.alias("lines_"), _masked(first).alias("first")).select("h", "lines_", F.xxhash64("first").alias("e"), F.col("first").isNotNull().alias("has"), longest.alias("top"))
+    nothing = F.lit(0).cast("long")
+    hashes = F.transform("lines_", lambda x: F.xxhash64(x))
+    beside = lambda x: F.coalesce(F.when(x != F.col("top")[0]["x"], F.col("top")[0]["x"]).otherwise(F.try_element_at("top", F.lit(2))["x"]), nothing)
+    entry = lambda line, what, value: F.struct(line.alias("line"), F.lit(what).alias("what"), value.alias("value"))
+    entries = F.concat(
+        F.array(entry(F.lit(None).cast("long"), "text", F.xxhash64("lines_"))),
+        F.transform(hashes, lambda x: entry(x, "line", beside(x))),
+        F.when(F.col("has"), F.transform(F.filter(hashes, lambda x: x != F.col("e")), lambda x: entry(x, "evidence", F.col("e")))).otherwise(F.array().cast("array<struct<line:bigint,what:string,value:bigint>>")))
+    different = lambda what: F.count_if(F.col("what") == what)
+    counted = (marked.select("h", F.explode(entries).alias("x")).select("h", "x.*").distinct()
+               .groupBy("h", "line").agg(different("line").alias("n"), different("evidence").alias("evidences"), different("text").alias("texts")))
+    total = F.max("texts").over(Window.partitionBy("h"))
+    lower = ((F.col("n") + z * z / 2 - z * F.sqrt(F.col("n") * (1 - F.col("n") / F.col("records")) + z * z / 4)) / (F.col("records") + z * z))
+    return (counted.filter("n > 1 or evidences > 1 or line is null").withColumn("records", total)
+            .filter(F.col("line").isNotNull() & ((F.col("evidences") > 1) | ((F.col("n") > 1) & (lower >= share))))
+            .groupBy("h").agg(F.collect_set("line").alias("boiler")))
+
+
 def evidence_in_residual(residual: Column, content_words: int) -> Column:
     """Kind of evidence of a whole residual, or null if what isn't evidence is content of its own."""
     sentences = F.split(residual, r"(?<=[.!?])\s+|\n")

@@ -52,3 +52,24 @@ def test_boilerplate_is_subtracted_by_host(spark):
 def test_empty_and_null_keys(spark):
     assert residue(spark, [])[1].collect() == []
     assert residue(spark, [(None, "javascript:void(0)", None, None)])[1].first().id is None
+
+
+FRAME = ["Wisconsin Legislature", "Home | Bills | Calendar | Members of the house | Members of the senate | Search statutes | Search rules | Journals | Committees | Hearings | Reports | Archive | Contact | Help | About this site"]
+PAGES = ["Session timed out.", "502 Bad Gateway", "You need to enable JavaScript to run this app."]
+
+
+def framed(host, ids):
+    return [(i, f"https://{host}.example/{i}.htm", "", "\n\n".join([FRAME[0], PAGES[i % 3], FRAME[1]])) for i in ids]
+
+
+def test_frame_is_subtracted_whatever_the_size_of_the_table(spark):
+    bills = [(1000 + i, f"https://legis.wi.example/{i}.htm", "", REAL.replace("beekeeping", f"topic {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}")) for i in range(600)]
+    for pages, rest in ((framed("legis.wi", range(3)), []), (framed("legis.wi", range(3)), bills), (framed("legis.wi", range(30)), bills)):
+        _, out = residue(spark, pages + rest)
+        assert {r.id for r in out.collect()} == {p[0] for p in pages}
+
+
+def test_versions_of_a_bill_are_no_boilerplate(spark):
+    text = lambda i: f"{REAL}\n{REAL.replace('beekeeping', 'the levy')} It ends.\nVersion {i}\nPlease enable JavaScript to view this page."
+    _, out = residue(spark, [(i, GOOD, "", text(i)) for i in range(25)])
+    assert out.collect() == []
