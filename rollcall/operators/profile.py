@@ -12,14 +12,16 @@ MAX_TASKS = 20_000
 _COUNTS = "grp long, column_name string, value string, n long, decoded boolean"
 
 
-def value_counts(spark: SparkSession, path: str, group: str, columns: list[str]) -> DataFrame:
-    """How often each value of each column occurs in each group: (grp, column_name, value, n, decoded).
+def value_counts(spark: SparkSession, path: str, group: str, columns: list[str] | None = None) -> DataFrame:
+    """How often each value of each column (None: all of the schema) occurs in each group: (grp, column_name, value, n, decoded).
 
     Footers are read first, one task a file. A row group is pure if its statistics give one value of
     ``group`` and no null; then its null counts, and the value of chunks with equal extrema, come from the
     footer (``decoded`` false). Only other chunks are decoded, dictionary first where the chunk has one.
-    Null groups aren't profiled. Values are given as text, a null value as null.
+    Rows with a null group are a group of their own. Values are given as text, maps, structs and arrays as JSON with
+    sorted keys, a null value as null.
     """
+    columns = spark.read.parquet(path).columns if columns is None else columns
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
              .load(path).select("path"))
 
@@ -83,36 +85,65 @@ def _chunk_counts(path: str, row_group: int, group: str, columns: list[str]) ->
                     yield out(g.min, column, [None], [meta.num_rows], False)
                     continue
                 # extrema of text may be cut short in footers, those of whole numbers are exact
-                if s.has_min_max and s.min == s.max and isinstance(s.min, int):
+                if s.has_min_max and s.min == s.max and isinstance(s.min, int) and not isinstance(s.min, bool):
                     kept = [(str(s.min), meta.num_rows - s.null_count)] + [(None, s.null_count)] * (s.null_count > 0)
                     yield out(g.min, column, [v for v, _ in kept], [n for _, n in kept], False)
                     continue
             if pure:
-                data = file.read_row_group(row_group, columns=[column]).column(0).combine_chunks()
+                data = _flat(file.read_row_group(row_group, columns=[column]).column(0)).combine_chunks()
                 found = pc.value_counts(data)
                 values = found.field("values")
                 if pa.types.is_dictionary(values.type):
                     values = values.dictionary_decode()
                 yield out(g.min, column, pc.cast(values, pa.string()).to_pylist(), found.field("counts").to_pylist(), True)
             else:
-                table = file.read_row_group(row_group, columns=[group, column])
-                table = table.filter(pc.is_valid(table.column(group)))
-                c = table.column(column)
+                table = file.read_row_group(row_group, columns=list(dict.fromkeys([group, column])))
+                c = _flat(table.column(column))
                 c = pc.cast(c.cast(c.type.value_type) if pa.types.is_dictionary(c.type) else c, pa.string())
                 both = pa.table({"g": table.column(group), "v": c}).group_by(["g", "v"]).aggregate([([], "count_all")])
                 yield out(both.column("g").to_pylist(), column, both.column("v").to_pylist(), both.column("count_all").to_pylist(), True)
 
 
-def profile(counts: DataFrame, numeric: list[str], valid_range: tuple[int, int], patterns: dict[str, str] | None = None) -> DataFrame:
+def _flat(data: pa.ChunkedArray) -> pa.ChunkedArray:
+    """Maps, structs and arrays as canonical text, other columns as they are."""
+    import json
+
+    if not pa.types.is_nested(data.type):
+        return data
+
+    def plain(v, kind):
+        if v is None:
+            return None
+        if pa.types.is_map(kind):
+            return [[plain(k, kind.key_type), plain(x, kind.item_type)] for k, x in v]
+        if pa.types.is_struct(kind):
+            return {f.name: plain(v[f.name], f.type) for f in kind}
+        return [plain(x, kind.value_type) for x in v] if pa.types.is_nested(kind) else v
+
+    def canonical(v):
+        v = plain(v, data.type)
+        if v is not None and pa.types.is_map(data.type):
+            v = sorted(v, key=lambda e: json.dumps(e, default=str, ensure_ascii=False))
+            if all(isinstance(k, str) for k, _ in v) and len({k for k, _ in v}) == len(v):
+                v = dict(v)
+        return None if v is None else json.dumps(v, default=str, ensure_ascii=False, sort_keys=True)
+
+    return pa.chunked_array([pa.array([canonical(v) for v in c.to_pylist()], pa.string()) for c in data.chunks], pa.string())
+
+
+def profile(counts: DataFrame, numeric: list[str], valid_range: tuple[int, int], patterns: dict[str, str] | None = None, whole: list[str] | None = None) -> DataFrame:
     """One row a group and column: rows, nulls, distinct values, extrema, mean parts in range, pattern violations.
 
-    ``rows``, ``nulls``, ``n_distinct`` (non-null), ``low``/``high`` (numeric columns), ``n_in``/``sum_in`` over the
-    values in ``valid_range``, ``n_out`` (numeric values outside it), ``n_bad`` (values that don't match the
+    ``rows``, ``nulls``, ``n_distinct`` (non-null), ``low``/``high`` (columns of whole numbers: ``numeric`` and ``whole``),
+    ``low_text``/``high_text`` (all columns: those by value, others by code point), ``n_in``/``sum_in`` over the values of
+    ``numeric`` in ``valid_range``, ``n_out`` (numeric values outside it), ``n_bad`` (values that don't match the
     column's pattern; nulls match).
     """
     low, high = valid_range
     per_value = counts.groupBy("grp", "column_name", "value").agg(F.sum("n").alias("n"))
     number = F.when(F.col("column_name").isin(numeric), F.col("value").try_cast("long"))
+    ordered = F.when(F.col("column_name").isin([*numeric, *(whole or [])]), F.col("value").try_cast("long"))
+    ranked = F.when(F.col("value").isNotNull(), F.struct(ordered.alias("o"), F.col("value")))
     inside = number.between(low, high)
     bad: Column = F.lit(False)
     for column, pattern in (patterns or {}).items():
@@ -120,32 +151,50 @@ def profile(counts: DataFrame, numeric: list[str], valid_range: tuple[int, int],
     return per_value.groupBy("grp", "column_name").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("value").alias("n_distinct"), F.min(number).alias("low"), F.max(number).alias("high"),
+        F.count("value").alias("n_distinct"), F.min(ordered).alias("low"), F.max(ordered).alias("high"),
+        F.min(ranked)["value"].alias("low_text"), F.max(ranked)["value"].alias("high_text"),
         F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias("n_in"),
         F.coalesce(F.sum(F.when(inside, F.col("n") * number)), F.lit(0)).alias("sum_in"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_out"),
         F.coalesce(F.sum(F.when(F.col("value").isNotNull() & bad, F.col("n"))), F.lit(0)).alias("n_bad"))
 
 
+def with_changes(profiled: DataFrame) -> DataFrame:
+    """The profile with rates and means, and with those of the group before (``grp`` - 1) as ``before`` and their change.
+
+    ``before`` is null for the first group, for a group whose predecessor is missing and for the null group; so are
+    ``null_rate_change``, ``n_distinct_change``, ``mean_change`` (of the values in range) and ``n_bad_change``, and
+    ``low_change``/``high_change`` of whole numbers; ``range_changed`` tells of all columns whether an extremum moved.
+    """
+    over = Window.partitionBy("column_name").orderBy("grp")
+    rated = profiled.withColumns({"null_rate": F.col("nulls") / F.col("rows"), "mean": F.when(F.col("n_in") > 0, F.col("sum_in") / F.col("n_in"))})
+    kept = ["grp", "rows", "nulls", "n_distinct", "low", "high", "low_text", "high_text", "n_in", "sum_in", "n_bad", "null_rate", "mean"]
+    last = F.lag(F.struct(*kept)).over(over)
+    rated = rated.withColumn("before", last).withColumn("before", F.when(F.col("before.grp") == F.col("grp") - 1, F.col("before")))
+    changes = {f"{c}_change": F.col(c) - F.col(f"before.{c}") for c in ("null_rate", "n_distinct", "low", "high", "mean", "n_bad")}
+    moved = ~(F.col("low_text").eqNullSafe(F.col("before.low_text")) & F.col("high_text").eqNullSafe(F.col("before.high_text")))
+    return rated.withColumns(changes | {"range_changed": F.when(F.col("before").isNotNull(), moved)})
+
+
 def findings(profiled: DataFrame, numeric: list[str], patterned: list[str]) -> DataFrame:
     """(grp, column_name, finding): what is wrong in a load, or differs from the load before (grp - 1).
 
     ``value_range``, ``pattern``; against the load before: ``null_rate`` (share of nulls differs by more than
     0.1), ``distinct`` (fewer than half as many), ``shift`` (mean in range more than twice or less than half).
-    All comparisons are of whole numbers; a load without values in range has no mean and no shift.
+    All comparisons are of whole numbers; a load without values in range has no mean and no shift. Takes a profile
+    with or without its changes.
     """
-    over = Window.partitionBy("column_name").orderBy("grp")
-    before = F.lag(F.struct("grp", "rows", "nulls", "n_distinct", "n_in", "sum_in")).over(over)
+    profiled = profiled if "before" in profiled.columns else with_changes(profiled)
     dec = lambda c: F.col(c).cast("decimal(38,0)")
     num = F.col("column_name").isin(numeric)
-    has = num & F.col("p").isNotNull() & (F.col("p.grp") == F.col("grp") - 1)
+    has = num & F.col("before").isNotNull()
     found = {
         "value_range": num & (F.col("n_out") > 0),
         "pattern": F.col("column_name").isin(patterned) & (F.col("n_bad") > 0),
-        "null_rate": has & (F.abs(dec("nulls") * dec("p.rows") - dec("p.nulls") * dec("rows")) * 10 > dec("rows") * dec("p.rows")),
-        "distinct": has & (F.col("n_distinct") * 2 < F.col("p.n_distinct")),
-        "shift": has & (F.col("n_in") > 0) & (F.col("p.n_in") > 0)
-        & ((dec("sum_in") * dec("p.n_in") > dec("p.sum_in") * dec("n_in") * 2) | (dec("sum_in") * dec("p.n_in") * 2 < dec("p.sum_in") * dec("n_in"))),
+        "null_rate": has & (F.abs(dec("nulls") * dec("before.rows") - dec("before.nulls") * dec("rows")) * 10 > dec("rows") * dec("before.rows")),
+        "distinct": has & (F.col("n_distinct") * 2 < F.col("before.n_distinct")),
+        "shift": has & (F.col("n_in") > 0) & (F.col("before.n_in") > 0)
+        & ((dec("sum_in") * dec("before.n_in") > dec("before.sum_in") * dec("n_in") * 2) | (dec("sum_in") * dec("before.n_in") * 2 < dec("before.sum_in") * dec("n_in"))),
     }
     kinds = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in found.items()]))
-    return profiled.withColumn("p", before).select("grp", "column_name", F.explode(kinds).alias("finding"))
+    return profiled.select("grp", "column_name", F.explode(kinds).alias("finding"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.operators.hierarchy import resolve_hierarchy
-from rollcall.operators.profile import findings, profile, value_counts
+from rollcall.operators.profile import findings, profile, value_counts, with_changes
 from rollcall.operators.snapshots import snapshot_changes
 from rollcall.operators.timestamps import Rules, normalise_times
 from rollcall.session import table
@@ -61,13 +61,16 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def p7_profile(spark: SparkSession, sf: str) -> DataFrame:
-    counts = value_counts(spark, f"{sf}/session_quality_report.parquet", "load_no", [*COUNTERS, *PATTERNS])
-    return profile(counts, COUNTERS, (0, 100_000), PATTERNS).withColumnRenamed("grp", "load_no")
+def p7_profile(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
+    """Profile of all columns of the table, or of ``columns``: a column's rows don't depend on the others."""
+    path = f"{sf}/session_quality_report.parquet"
+    whole = [c for c, kind in spark.read.parquet(path).dtypes if kind in ("tinyint", "smallint", "int", "bigint")]
+    profiled = profile(value_counts(spark, path, "load_no", columns), COUNTERS, (0, 100_000), PATTERNS, whole)
+    return with_changes(profiled).withColumnRenamed("grp", "load_no")
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    found = findings(p7_profile(spark, sf).withColumnRenamed("load_no", "grp"), COUNTERS, list(PATTERNS))
+    found = findings(p7_profile(spark, sf, [*COUNTERS, *PATTERNS]).withColumnRenamed("load_no", "grp"), COUNTERS, list(PATTERNS))
     return found.select(F.col("grp").cast("int").alias("load_no"), "column_name", "finding")
 
 

@@ -1,8 +1,11 @@
+import datetime
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 from rollcall.operators.profile import findings, profile, value_counts
+from rollcall.plans.training import p7_profile
 
 PATTERN = {"j": r"^[a-z]+\z"}
 
@@ -36,3 +39,34 @@ def test_profile_values_and_footer_use(spark, tmp_path):
 
 def test_empty_file(spark, tmp_path):
     assert made(spark, tmp_path, [], 4).collect() == []
+
+
+@pytest.mark.parametrize("size", [2, 3, 100])
+def test_every_column_and_null_groups_are_profiled(spark, tmp_path, size):
+    at = [datetime.datetime(2020, 1, d, tzinfo=datetime.UTC) for d in (1, 2, 3, 4, 5)]
+    maps = [[("b", 1), ("a", 2)], [("a", 2), ("b", 1)], [], None, [("c", None)]]
+    pq.write_table(pa.table({"load": pa.array([1, 1, 2, 2, None], pa.int32()), "id": pa.array([9, 10, 11, 12, 13], pa.int64()), "at": pa.array(at, pa.timestamp("us", "UTC")),
+                             "m": pa.array(maps, pa.map_(pa.string(), pa.int64())), "ok": pa.array([True, True, None, False, True])}), tmp_path / "t.parquet", row_group_size=size)
+    p = {(r.grp, r.column_name): r for r in profile(value_counts(spark, str(tmp_path / "t.parquet"), "load"), [], (0, 1), whole=["id", "load"]).collect()}
+    assert {k for k in p} == {(g, c) for g in (1, 2, None) for c in ("load", "id", "at", "m", "ok")}
+    assert [(p[g, "m"].rows, p[g, "m"].nulls, p[g, "m"].n_distinct, p[g, "m"].low_text) for g in (1, 2, None)] == [(2, 0, 1, '{"a": 2, "b": 1}'), (2, 1, 1, "{}"), (1, 0, 1, '{"c": null}')]
+    assert (p[1, "id"].low, p[1, "id"].high, p[1, "id"].low_text, p[1, "id"].high_text) == (9, 10, "9", "10")
+    assert (p[2, "at"].low_text[:10], p[2, "at"].high_text[:10], p[2, "at"].low) == ("2020-01-03", "2020-01-04", None)
+    assert (p[1, "ok"].n_distinct, p[1, "ok"].low_text, p[2, "ok"].nulls) == (1, "true", 1)
+
+
+def test_profile_query_covers_the_table_and_its_changes(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {(r.load_no, r.column_name): r for r in p7_profile(spark, sf).collect()}
+    rows = pq.read_table(f"{sf}/session_quality_report.parquet").to_pylist()
+    loads = {r["load_no"] for r in rows}
+    assert {k for k in got} == {(g, c) for g in loads for c in rows[0]}
+    for (load, column), r in got.items():
+        freeze = lambda v: tuple(sorted(v)) if isinstance(v, list) else v
+        values = {g: [freeze(x[column]) for x in rows if x["load_no"] == g] for g in (load, load - 1)}
+        rate, distinct = ({g: f(v) if v else None for g, v in values.items()} for f in (lambda v: v.count(None) / len(v), lambda v: len(set(v) - {None})))
+        assert (r.rows, r.null_rate, r.n_distinct) == (len(values[load]), rate[load], distinct[load])
+        if load - 1 in loads:
+            assert (r.null_rate_change, r.n_distinct_change) == (rate[load] - rate[load - 1], distinct[load] - distinct[load - 1])
+        else:
+            assert r.before is None and r.null_rate_change is None
