@@ -22,8 +22,8 @@ def resolve_hierarchy(df: DataFrame, node: str, parent: str, with_path: bool = T
 
     ``kind``: ``tree``, ``cycle`` (the node lies on a cycle; root = smallest node of it, depth 0) or
     ``into_cycle`` (it leads to one; depth = links to the first node on it). ``path`` lists the nodes from the
-    root (for cycles: the first node on the cycle) to the node; ``subtree`` counts the node and all below it
-    that aren't on a cycle. A parent that isn't a node ends the path at the row holding it. Repeated rows
+    root (for cycles: the first node on the cycle) to the node; ``subtree`` counts the node and all its
+    descendants, on a cycle all of the cycle and all that leads to it. A parent that isn't a node ends the path at the row holding it. Repeated rows
     count once; if a node is given several parents, the smallest counts; null nodes are ignored, an empty
     table gives an empty result and other columns are ignored.
 
@@ -79,15 +79,33 @@ def resolve_hierarchy(df: DataFrame, node: str, parent: str, with_path: bool = T
 
 
 def descendants(resolved: DataFrame, of: DataFrame | None = None, node: str = "node") -> DataFrame:
-    """(``ancestor``, ``descendant``, ``distance``) for every node on a tree or hanging on a cycle.
+    """(``ancestor``, ``descendant``, ``distance``): every other node from which the ancestor is reached, and in how many links.
 
-    Made by exploding each node's own path, so no list of descendants is ever gathered in one row.
-    ``of`` (a column ``node``) restricts the ancestors.
+    On a tree, and up to the first node on a cycle, made by exploding each node's own path, so no list of descendants
+    is ever gathered in one row. All nodes of a cycle are reached from each other and from what leads to the cycle:
+    each cycle is walked once for the places of its nodes (one row a node), and nodes on or behind it are joined to
+    them. A node isn't its own descendant. ``of`` (a column ``node``) restricts the ancestors.
     """
-    pairs = resolved.select(F.col("node").alias("descendant"), F.posexplode(F.reverse("path")).alias("distance", "ancestor")).filter("distance > 0")
+    up = resolved.select(F.col("node").alias("descendant"), F.posexplode(F.reverse("path")).alias("distance", "ancestor")).filter("distance > 0")
+    places = resolved.filter("kind = 'cycle'").select("node", "parent", "root").groupBy("root").applyInPandas(_places, "root string, node string, place int, ring int")
+    first = resolved.filter("kind <> 'tree'").select(F.col("node").alias("descendant"), "root", "depth", F.col("path")[0].alias("first"))
+    onto = first.join(places.select(F.col("node").alias("first"), F.col("place").alias("at")), "first")
+    targets = places.select("root", F.col("node").alias("ancestor"), "place", "ring")
     if of is not None:
-        pairs = pairs.join(of.select(F.col(node).alias("ancestor")).distinct(), "ancestor", "left_semi")
-    return pairs.select("ancestor", "descendant", "distance")
+        wanted = of.select(F.col(node).alias("ancestor")).distinct()
+        up, targets = up.join(wanted, "ancestor", "left_semi"), targets.join(wanted, "ancestor", "left_semi")
+    around = onto.join(targets, "root").filter("place <> at").select(
+        "ancestor", "descendant", (F.col("depth") + F.pmod(F.col("place") - F.col("at"), F.col("ring"))).alias("distance"))
+    return up.select("ancestor", "descendant", "distance").unionByName(around)
+
+
+def _places(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Places of the nodes of one cycle in the order of its links, from its smallest node."""
+    parent = dict(zip(pdf["node"], pdf["parent"], strict=True))
+    ring = [pdf["root"].iloc[0]]
+    while (nxt := parent[ring[-1]]) != ring[0]:
+        ring.append(nxt)
+    return pd.DataFrame({"root": ring[0], "node": ring, "place": range(len(ring)), "ring": len(ring)})
 
 
 def _solve_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,7 +136,9 @@ def _solve_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ring = [n]
         while (nxt := parent[ring[-1]]) != n:
             ring.append(nxt)
+        whole = sum(size[m] for m in ring)
         for m in ring:
+            size[m] = whole
             solved[m] = (min(ring), 0, "cycle", [m])
     for n in reversed(peeled):
         p = parent[n]
@@ -144,5 +164,6 @@ def _cycles_by_doubling(state: DataFrame) -> DataFrame:
         if not moved and before == 0:
             break
         before = moved
-    return now.join(state.select("node", "subtree"), "node").select(
+    sized = now.join(state.select("node", "subtree"), "node")
+    return sized.select("node", "low").join(sized.groupBy("low").agg(F.sum("subtree").alias("subtree")), "low").select(
         "node", F.col("low").alias("root"), F.lit(0).alias("depth"), F.lit("cycle").alias("kind"), F.array("node").alias("path"), "subtree")

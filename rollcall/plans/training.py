@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.operators.hierarchy import resolve_hierarchy
+from rollcall.operators.hierarchy import descendants, resolve_hierarchy
 from rollcall.operators.profile import findings, profile, value_counts, with_changes
 from rollcall.operators.snapshots import snapshot_changes
 from rollcall.operators.timestamps import Rules, normalise_times
@@ -44,6 +44,11 @@ def p4_paths(spark: SparkSession, sf: str) -> DataFrame:
     return solved.select(F.col("node").alias("id"), F.col("root").alias("root_id"), "depth", "kind", F.array_join("path", " > ").alias("path"), "subtree")
 
 
+def p4_descendants(spark: SparkSession, sf: str) -> DataFrame:
+    """All divisions that redirect to a division, directly or through others."""
+    return descendants(resolve_hierarchy(table(spark, sf, "division"), "id", "redirect")).select(F.col("ancestor").alias("id"), F.col("descendant").alias("descendant_id"), "distance")
+
+
 def event_times(spark: SparkSession, sf: str, column: str) -> DataFrame:
     zones = table(spark, sf, "jurisdiction").select("jurisdiction_id", "time_zone").dropDuplicates(["jurisdiction_id"])
     events = table(spark, sf, "event_listing").select("listing_id", "jurisdiction_id", column).join(F.broadcast(zones), "jurisdiction_id", "left")
@@ -74,7 +79,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("grp").cast("int").alias("load_no"), "column_name", "finding")
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_paths": p4_paths, "p5_found": p5_found, "p7_found": p7_found, "p7_profile": p7_profile}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p5_found": p5_found, "p7_found": p7_found, "p7_profile": p7_profile}
 
 _BILL = "jurisdiction_id, legislative_session, identifier, title, from_organization, list_sort(classification), list_sort(subject)"
 _LOG = "report_id, jurisdiction_id, object_type, insert_count, update_count, noop_count, start_time, end_time"
@@ -101,6 +106,13 @@ SELECT id, CASE WHEN first_at IS NULL OR first_at = 0 THEN cur ELSE list_min(see
  CASE WHEN first_at IS NULL OR first_at = 0 THEN 'tree' WHEN first_at = 1 THEN 'cycle' ELSE 'into_cycle' END AS kind FROM ends"""
 
 
+_P4_DESCENDANTS = """WITH RECURSIVE d AS (SELECT id, min(redirect) AS redirect FROM division WHERE id IS NOT NULL GROUP BY id),
+ links AS (SELECT d.id, d.redirect AS parent FROM d JOIN d p ON p.id = d.redirect),
+ walk AS (SELECT id, id AS cur, 0 AS steps, [id] AS seen FROM links
+   UNION ALL SELECT w.id, l.parent, w.steps + 1, list_append(w.seen, l.parent) FROM walk w JOIN links l ON l.id = w.cur WHERE NOT list_contains(w.seen, l.parent))
+SELECT cur AS id, id AS descendant_id, CAST(steps AS INTEGER) AS distance FROM walk WHERE steps > 0"""
+
+
 def _p7() -> str:
     columns = "UNION ALL ".join(
         f"SELECT load_no, '{c}' AS column_name, count(*) AS n, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS d, "
@@ -118,5 +130,6 @@ def _p7() -> str:
 SQL = {
     "p2_found": f"{_changes('bill_snapshot', 'bill_id', _BILL, 'delivered_at DESC')} UNION ALL {_changes('import_objects_snapshot', 'import_id', _LOG, _LOG)}",
     "p4_found": _P4,
+    "p4_descendants": _P4_DESCENDANTS,
     "p7_found": _p7(),
 }

@@ -71,3 +71,32 @@ def test_deep_chain(spark):
     rows = [(f"{i:04d}", f"{i - 1:04d}" if i else None) for i in range(400)]
     out = got(resolved(spark, rows))
     assert out["0399"] == ("0000", 399, "tree")
+
+
+def brute_pairs(rows):
+    parent = {}
+    for n, p in rows:
+        if n is not None:
+            known = [x for x in (parent.get(n), p) if x is not None]
+            parent[n] = min(known) if known else None
+    pairs = set()
+    for n in parent:
+        seen, at = [n], parent[n]
+        while at in parent and at not in seen:
+            pairs.add((at, n, len(seen)))
+            seen.append(at)
+            at = parent[at]
+    return pairs
+
+
+@pytest.mark.parametrize("local", [100, 0])
+def test_descendants_of_ring_nodes(spark, local):
+    rows = [("x", "y"), ("y", "z"), ("z", "x"), ("w", "z"), ("v", "w"), ("s", "s"), ("t", "s"), ("a", None), ("b", "a"), ("c", "gone")]
+    rng = random.Random(4)
+    names = [f"n{i:02d}" for i in range(60)]
+    for r in (rows, EDGES, [(n, rng.choice([None, *names, "nowhere"])) for n in names]):
+        out = [tuple(x) for x in descendants(resolved(spark, r, local_nodes=local)).collect()]
+        assert len(out) == len(set(out)) and set(out) == brute_pairs(r)
+        assert all(x.subtree == 1 + sum(a == x.node for a, _, _ in out) for x in resolved(spark, r, local_nodes=local).collect())
+    some = spark.createDataFrame([("x",), ("w",)], "node string")
+    assert {tuple(x) for x in descendants(resolved(spark, rows, local_nodes=local), some).collect()} == {p for p in brute_pairs(rows) if p[0] in ("x", "w")}
