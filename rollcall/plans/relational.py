@@ -217,7 +217,7 @@ def q20_children_of(spark, sf):
  SELECT up.k, t.p, distance + 1 FROM up JOIN t ON t.k = up.ancestor WHERE t.p IS NOT NULL) SELECT k AS p_partkey, ancestor, distance FROM up""")
 def q21_ancestors(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") > 1, F.floor(F.col("p_partkey") / 2)).alias("parent"))
-    return relations.ancestors(parts, "p_partkey", "parent", 20)
+    return relations.ancestors(parts, "p_partkey", "parent")
 
 
 _SHIP = "FROM (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 5 = 0 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS st, CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE strftime(l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d') END AS en FROM lineitem)"

@@ -221,3 +221,11 @@ def test_longest_run_against_brute_force(spark):
     want = {u: max((len(list(g)) for f, g in itertools.groupby(x[2] for x in data if x[0] == u) if f), default=0) for u in range(5)}
     df = spark.createDataFrame(data, "u int, i int, bad boolean")
     assert {r.u: r.longest_run for r in rollup.longest_run(df, ["u"], ["i"], F.col("bad")).collect()} == want
+
+
+def test_ancestors_of_deep_trees_and_rings(spark):
+    links = [(i, i - 1 if i else None) for i in range(91)] + [(201, 202), (202, 203), (203, 201), (204, 203), (205, 205)]
+    got = rows(relations.ancestors(spark.createDataFrame(links, "k long, up long").localCheckpoint(), "k", "up"))
+    want = [(i, a, i - a) for i in range(91) for a in range(i)]
+    want += [(201, 202, 1), (201, 203, 2), (202, 203, 1), (202, 201, 2), (203, 201, 1), (203, 202, 2), (204, 203, 1), (204, 201, 2), (204, 202, 3)]
+    assert sorted(got) == sorted(want)
