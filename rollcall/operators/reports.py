@@ -69,6 +69,18 @@ def without_large_groups(df: DataFrame, by: list[str], most: int) -> DataFrame:
     return df.join(large.drop("n"), by, "left_anti")
 
 
+def without_dominant_groups(df: DataFrame, by: list[str], share: float) -> DataFrame:
+    """Rows of groups that hold at most ``share`` of all rows, whatever the size of the table; null groups are groups."""
+    sizes = df.groupBy(*by).agg(F.count("*").alias("__n"))
+    total = sizes.agg(F.sum("__n").alias("__all"))
+    large = sizes.crossJoin(F.broadcast(total)).filter(F.col("__n") > F.col("__all") * F.lit(share)).select(*[F.col(c).alias(f"__{c}") for c in by])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    # fewer than 1 / share groups
+    return df.join(F.broadcast(large), same, "left_anti")
+
+
 def duplicate_values(df: DataFrame, value: list[str], owner: str, shown: int = 3) -> DataFrame:
     """Values held by several owners: how many, the first few, and how many more."""
     g = df.groupBy(*value).agg(F.count_distinct(owner).alias("owners"), F.min_by(owner, owner).alias("first_owner"), F.slice(F.array_sort(F.collect_set(owner)), 1, shown).alias("__first"))

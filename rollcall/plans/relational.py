@@ -260,6 +260,11 @@ def q27_throttle_large_groups(spark, sf):
     return reports.without_large_groups(table(spark, sf, "event_raw"), ["jurisdiction_id"], 60).select("raw_id", "jurisdiction_id")
 
 
+@probe("SELECT raw_id, jurisdiction_id FROM (SELECT raw_id, jurisdiction_id, count(*) OVER (PARTITION BY jurisdiction_id) AS n, count(*) OVER () AS rows FROM event_raw) WHERE n * 20 <= rows")
+def q27b_throttle_dominant_groups(spark, sf):
+    return reports.without_dominant_groups(table(spark, sf, "event_raw"), ["jurisdiction_id"], 0.05).select("raw_id", "jurisdiction_id")
+
+
 @probe("""SELECT coalesce(lang, '') AS lang, count(*) AS total, count(*) FILTER (text IS NULL OR text = '') AS missing, count(*) FILTER (n_chars IS NULL) AS errors, CAST(ceil(count(*) FILTER (text IS NULL OR text = '') * 100.0 / count(*)) AS BIGINT) AS missing_percent,
  CAST(ceil(count(*) FILTER (n_chars IS NULL) * 100.0 / count(*)) AS BIGINT) AS error_percent FROM documents GROUP BY 1""")
 def q28_coverage(spark, sf):

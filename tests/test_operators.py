@@ -229,3 +229,11 @@ def test_ancestors_of_deep_trees_and_rings(spark):
     want = [(i, a, i - a) for i in range(91) for a in range(i)]
     want += [(201, 202, 1), (201, 203, 2), (202, 203, 1), (202, 201, 2), (203, 201, 1), (203, 202, 2), (204, 203, 1), (204, 201, 2), (204, 202, 3)]
     assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("times", [1, 100])
+def test_dominant_groups_wait_whatever_the_size(spark, times):
+    groups = ["big"] * 6 + ["a", "b", "c", None]
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(groups * times)], "id long, g string")
+    assert {r.g for r in reports.without_dominant_groups(df, ["g"], 0.2).collect()} == {"a", "b", "c", None}
+    assert reports.without_dominant_groups(df.limit(0), ["g"], 0.2).count() == 0
