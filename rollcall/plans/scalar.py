@@ -96,6 +96,13 @@ def q47_html_text(spark, sf):
     return d.select("doc_id", F.trim(F.regexp_replace(documents.html_text(F.col("text")), r"[\s\xa0]+", " ")).alias("words"))
 
 
+@probe()
+def q47c_html_text_of_all(spark, sf):
+    """Every text that holds a tag, wherever it is; regexes of the SQL above can't tell tags from what looks like them."""
+    d = table(spark, sf, "documents").filter(F.col("text").rlike(r"<[A-Za-z/!]"))
+    return d.select("doc_id", F.trim(F.regexp_replace(documents.html_text(F.col("text")), r"[\s\xa0]+", " ")).alias("words"))
+
+
 @probe()
 def q47b_xml_text(spark, sf):
     d = table(spark, sf, "bill_version_document").filter("raw_text is not null")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators import diffing, documents, intervals, people, relations, reports, resolve, rollup, upsert
 from rollcall.operators.skew import attach_by_key, salted_join
+from rollcall.plans import scalar
 from rollcall.sources import files
 from rollcall.streaming import ingest
 
@@ -237,3 +238,10 @@ def test_dominant_groups_wait_whatever_the_size(spark, times):
     df = spark.createDataFrame([(i, g) for i, g in enumerate(groups * times)], "id long, g string")
     assert {r.g for r in reports.without_dominant_groups(df, ["g"], 0.2).collect()} == {"a", "b", "c", None}
     assert reports.without_dominant_groups(df.limit(0), ["g"], 0.2).count() == 0
+
+
+def test_html_text_of_every_text_that_holds_a_tag(spark, tmp_path):
+    cases = {"Before <b>bold</b> &amp; after": "Before bold & after", "<p>One</p><p>two</p>": "One two", "a < b and c > d": None, " \n<div>x<script>no()</script>y</div>": "xy", "plain": None, "end<br/>ing": "end ing", "": None, None: None}
+    spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.words for r in scalar.QUERIES["q47c_html_text_of_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: w for i, w in enumerate(cases.values()) if w is not None}
