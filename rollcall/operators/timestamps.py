@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import math
 import re
+import string
 import zoneinfo
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.session import cut
+
 # fixed values: month names in English, Spanish and French, by their first letters; zone abbreviations of the United States
 MONTHS = {
     "jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
@@ -31,9 +36,13 @@ _TAIL = rf"(?:(?:\s*[,T]\s*|\s+-\s+|\s+(?:at|a las|à)\s+|\s+){_TIME}{_ZONE}?)?"
 
 @dataclass(frozen=True)
 class Layout:
-    """A way to write a time: its pattern and the groups of year, month, day (0: not stated); time follows at ``at``."""
+    """A way to write a time: its pattern and the groups of year, month, day (0: not stated); time follows at ``at``.
+
+    ``opens``: how the first five characters may begin, digits being 9 and letters a; only values that do meet the pattern.
+    """
     name: str
     pattern: str
+    opens: tuple[str, ...]
     y: int
     m: int = 0
     d: int = 0
@@ -43,20 +52,21 @@ class Layout:
     epoch: float = 0.0
 
 
+_NUMBERS = ("9/", "99/", "9.", "99.", "9-", "99-")
 LAYOUTS = [
-    Layout("iso", rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TAIL}$", 1, 2, 3, 4),
-    Layout("compact", rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:T?(\d{{2}})(\d{{2}})(\d{{2}})?(?:\.(\d{{1,9}}))?()?{_ZONE}?)?$", 1, 2, 3, 4),
-    Layout("ymd", rf"^(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}}){_TAIL}$", 1, 2, 3, 4),
-    Layout("mdy", rf"^(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}}|\d{{2}}){_TAIL}$", 3, 1, 2, 4),
-    Layout("dmy", rf"^(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}}|\d{{2}}){_TAIL}$", 3, 2, 1, 4, prior=1e-9),
-    Layout("month_day", rf"(?U)^{_WEEKDAY}(\p{{L}}{{3,10}})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}}){_TAIL}$", 3, 1, 2, 4),
-    Layout("day_month", rf"(?U)^{_WEEKDAY}(\d{{1,2}})(?:st|nd|rd|th|er)?[\s-]+(?:de\s+|of\s+)?(\p{{L}}{{3,10}})\.?,?[\s-]+(?:de\s+)?(\d{{4}}|\d{{2}}){_TAIL}$", 3, 2, 1, 4),
-    Layout("month_year", r"(?U)^(\p{L}{3,10})\.?,?\s+(?:de\s+)?(\d{4})$", 2, 1, cells=1200.0),
-    Layout("year_month", r"^(\d{4})[-/.](\d{1,2})$", 1, 2, cells=1200.0),
-    Layout("year", r"^(\d{4})$", 1, cells=100.0),
-    Layout("seconds", r"^(-?\d{9,10})(?:\.\d+)?$", 0, epoch=1.0, cells=3e9),
-    Layout("millis", r"^(-?\d{12,13})$", 0, epoch=1e-3, cells=3e12),
-    Layout("micros", r"^(-?\d{15,16})$", 0, epoch=1e-6, cells=3e15),
+    Layout("iso", rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TAIL}$", ("9999-",), 1, 2, 3, 4),
+    Layout("compact", rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:T?(\d{{2}})(\d{{2}})(\d{{2}})?(?:\.(\d{{1,9}}))?()?{_ZONE}?)?$", ("99999",), 1, 2, 3, 4),
+    Layout("ymd", rf"^(\d{{4}})[/.](\d{{1,2}})[/.](\d{{1,2}}){_TAIL}$", ("9999/", "9999."), 1, 2, 3, 4),
+    Layout("mdy", rf"^(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}}|\d{{2}}){_TAIL}$", _NUMBERS, 3, 1, 2, 4),
+    Layout("dmy", rf"^(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}}|\d{{2}}){_TAIL}$", _NUMBERS, 3, 2, 1, 4, prior=1e-9),
+    Layout("month_day", rf"(?U)^{_WEEKDAY}(\p{{L}}{{3,10}})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}}){_TAIL}$", ("a",), 3, 1, 2, 4),
+    Layout("day_month", rf"(?U)^{_WEEKDAY}(\d{{1,2}})(?:st|nd|rd|th|er)?[\s-]+(?:de\s+|of\s+)?(\p{{L}}{{3,10}})\.?,?[\s-]+(?:de\s+)?(\d{{4}}|\d{{2}}){_TAIL}$", ("a", "9a", "99a", "9 ", "99 ", "9-", "99-"), 3, 2, 1, 4),
+    Layout("month_year", r"(?U)^(\p{L}{3,10})\.?,?\s+(?:de\s+)?(\d{4})$", ("a",), 2, 1, cells=1200.0),
+    Layout("year_month", r"^(\d{4})[-/.](\d{1,2})$", ("9999-", "9999/", "9999."), 1, 2, cells=1200.0),
+    Layout("year", r"^(\d{4})$", ("9999",), 1, cells=100.0),
+    Layout("seconds", r"^(-?\d{9,10})(?:\.\d+)?$", ("99999", "-9999"), 0, epoch=1.0, cells=3e9),
+    Layout("millis", r"^(-?\d{12,13})$", ("99999", "-9999"), 0, epoch=1e-3, cells=3e12),
+    Layout("micros", r"^(-?\d{15,16})$", ("99999", "-9999"), 0, epoch=1e-6, cells=3e15),
 ]
 
 
@@ -73,13 +83,22 @@ class Rules:
 #: one pattern instead of hundreds of literals, which would be planned again and again
 _ZONE_NAMES = "^(?:" + "|".join(sorted(re.escape(z) for z in zoneinfo.available_timezones() if "/" in z)) + r")\z"
 _SEP = "\u0001"
+#: Sources times ambiguous signatures up to which what was chosen for them is broadcast.
+MAX_CHOICES = 100_000
+
 
+def _forms(v: Column, head: Column, layouts: list[Layout]) -> Column:
+    """The forms ``v`` has, each as an array: layout, year, month, day, hour, minute, second, fraction, half, zone as written.
 
-def _pieces(v: Column, x: Layout) -> Column:
-    """struct(layout, g) with g = year, month, day, hour, minute, second, fraction, half, zone as written; null if v isn't so written."""
-    groups = [x.y or 1, x.m, x.d, *(x.at + i if x.at else 0 for i in range(6))]
-    written = F.regexp_replace(v, x.pattern, _SEP.join(f"${g}" if g else "" for g in groups))
-    return F.when(v.rlike(x.pattern), F.struct(F.lit(x.name).alias("layout"), F.split(written, _SEP).alias("g")))
+    Only layouts that open as the value does meet it, and each meets it in one replacement: what isn't so written
+    comes back without the mark in front.
+    """
+    written = []
+    for x in layouts:
+        groups = [x.y or 1, x.m, x.d, *(x.at + i if x.at else 0 for i in range(6))]
+        form = _SEP + x.name + _SEP + _SEP.join(f"${g}" if g else "" for g in groups)
+        written.append(F.when(reduce(or_, [head.startswith(o) for o in x.opens]), F.regexp_replace(v, x.pattern, form)))
+    return F.transform(F.filter(F.array(*written), lambda w: w.startswith(_SEP)), lambda w: F.split(w, _SEP))
 
 
 def _month(text: Column) -> Column:
@@ -94,13 +113,13 @@ def _two(c: Column) -> Column:
 
 
 def _read(c: Column, layouts: list[Layout], century: int) -> Column:
-    """struct(layout, local, zone, precision) of the pieces ``c``; ``local`` is null if they are no time."""
-    g = lambda i: c["g"][i]
+    """struct(layout, local, zone, precision) of a form; ``local`` is null if it is no time."""
+    g = lambda i: c[i + 2]
     none = F.lit(None).cast("string")
     unit = F.lit("0")
     for x in layouts:
         if x.epoch:
-            unit = F.when(c["layout"] == x.name, F.lit(f"{x.epoch:.6f}")).otherwise(unit)
+            unit = F.when(c[1] == x.name, F.lit(f"{x.epoch:.6f}")).otherwise(unit)
     seconds = (g(0).try_cast("decimal(20,6)") * unit.cast("decimal(7,6)")).cast("decimal(18,6)")
     instant = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     year = F.when(F.length(g(0)) == 2, F.concat(F.lit(str(century)), g(0))).otherwise(g(0))
@@ -124,7 +143,7 @@ def _read(c: Column, layouts: list[Layout], century: int) -> Column:
     readable = month.isNotNull() & day.isNotNull() & clear & F.coalesce(zone != "?", F.lit(True))
     is_epoch = unit != "0"
     return F.struct(
-        c["layout"].alias("layout"),
+        c[1].alias("layout"),
         F.when(is_epoch, instant).when(readable, local).alias("local"),
         F.when(is_epoch, F.lit("UTC")).otherwise(zone).alias("zone"),
         F.when(is_epoch, F.lit("instant")).when(stated, F.lit("time")).when(g(2) != "", F.lit("day")).when(g(1) != "", F.lit("month")).otherwise(F.lit("year")).alias("precision"))
@@ -140,24 +159,31 @@ def normalise_times(df: DataFrame, value: str, source: list[str], zone: Column |
     ones move on by the length of the gap. ``fuzzy_date`` is ``YYYY[-MM[-DD]]`` as stated, zone and time dropped.
     Rows keep their other columns (columns of these six names are replaced); a null source is a source of its own.
 
-    Method. Every value is parsed under every layout; the set of valid layouts is its signature. Signatures are
-    counted per source, and per source expectation-maximisation weighs the layouts: a value adds to each valid
-    layout its posterior (mixture weight x prior x likelihood), until the weights stand still. Posteriors
-    choose the layout. Only signature counts, a handful a source, leave the rows.
+    Method. Every value is held to every layout it can begin; the layouts it may be written in are its signature, those
+    of several under which it is no time being left out. Signatures are counted per source, and per source
+    expectation-maximisation weighs the layouts: a value adds to each layout of its signature its posterior (mixture
+    weight x prior x likelihood), until the weights stand still. Posteriors choose the layout. Only signature counts, a
+    handful a source, leave the rows: the first pass takes forms and reads just those of several layouts, the second
+    reads all. The choices are broadcast if counted within ``MAX_CHOICES``, otherwise joined by a shuffle that adaptive
+    execution splits where a source is hot.
     """
     df = df.drop("time_status", "time_layout", "time_precision", "time_posterior", "time_utc", "fuzzy_date")
     layouts = [x for x in LAYOUTS if x.name in rules.layouts]
     v = F.trim(F.regexp_replace(F.col(value), r"(?U)\s+", " "))
     src = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in source]) if source else F.lit("")
-    parsed = (df.withColumn("__src", src).withColumn("__zone", zone if zone is not None else F.lit("UTC"))
-              .withColumn("__v", v)
-              .withColumn("__raw", F.array_compact(F.array(*[_pieces(F.col("__v"), x) for x in layouts])))
-              .withColumn("__all", F.filter(F.transform("__raw", lambda c: _read(c, layouts, rules.century)), lambda c: c["local"].isNotNull()))
-              .withColumn("__sig", F.array_join(F.transform("__all", lambda c: c["layout"]), ",")))
+    readable = lambda forms: F.filter(F.transform(forms, lambda c: _read(c, layouts, rules.century)), lambda c: c["local"].isNotNull())
+    forms = (df.withColumn("__src", src).withColumn("__zone", zone if zone is not None else F.lit("UTC"))
+             .withColumn("__v", v).withColumn("__head", F.translate(F.lower(F.substring("__v", 1, 5)), string.digits + string.ascii_lowercase, "9" * 10 + "a" * 26))
+             .withColumn("__forms", _forms(F.col("__v"), F.col("__head"), layouts)).drop("__head"))
+    several = F.size("__forms") > 1
+    # not filtered: a condition on what is made here would be pushed below it, so that all is made twice
+    signature = F.when(several, F.array_join(F.transform(readable(F.col("__forms")), lambda c: c["layout"]), ",")).otherwise(F.get(F.get("__forms", F.lit(0)), F.lit(1)))
+    counted = forms.select("__src", signature.alias("__sig")).groupBy("__src", "__sig").agg(F.count("*").alias("n"))
     prior = {x.name: rules.prior.get(x.name, x.prior) / x.cells for x in layouts}
     rounds = rules.rounds
 
     def em(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[pdf["__sig"].fillna("") != ""]
         sigs = [s.split(",") for s in pdf["__sig"]]
         n = [float(c) for c in pdf["n"]]
         weight = dict.fromkeys({f for s in sigs for f in s}, 1.0)
@@ -173,10 +199,14 @@ def normalise_times(df: DataFrame, value: str, source: list[str], zone: Column |
         best = [max(p.items(), key=lambda x: (x[1], x[0])) for p in post]
         return pd.DataFrame({"__src": pdf["__src"], "__sig": pdf["__sig"], "time_layout": [b[0] for b in best], "time_posterior": [b[1] for b in best]})
 
-    chosen = (parsed.filter("__sig <> ''").groupBy("__src", "__sig").agg(F.count("*").alias("n"))
-              .groupBy("__src").applyInPandas(em, "__src string, __sig string, time_layout string, time_posterior double"))
-    # one row per source and signature; joined by shuffle or broadcast as its measured size allows
-    out = parsed.join(chosen, ["__src", "__sig"], "left")
+    chosen = cut(counted.groupBy("__src").applyInPandas(em, "__src string, __sig string, time_layout string, time_posterior double")).filter("contains(__sig, ',')")
+    few = chosen.limit(MAX_CHOICES + 1).count() <= MAX_CHOICES
+    parsed = (forms.withColumn("__all", readable(F.col("__forms"))).drop("__forms")
+              .withColumn("__sig", F.array_join(F.transform("__all", lambda c: c["layout"]), ",")))
+    out = parsed.join(F.broadcast(chosen) if few else chosen, ["__src", "__sig"], "left")
+    alone = F.size("__all") == 1
+    out = (out.withColumn("time_layout", F.when(alone, F.col("__all")[0]["layout"]).otherwise(F.col("time_layout")))
+           .withColumn("time_posterior", F.when(alone, F.lit(1.0)).otherwise(F.col("time_posterior"))))
     pick = F.try_element_at(F.filter("__all", lambda c: c["layout"] == F.col("time_layout")), F.lit(1))
     out = out.withColumn("__pick", pick)
     at_zone = F.coalesce("__pick.zone", "__zone")
@@ -190,4 +220,4 @@ def normalise_times(df: DataFrame, value: str, source: list[str], zone: Column |
     return (out.withColumn("time_status", status).withColumn("time_precision", F.col("__pick.precision"))
             .withColumn("time_utc", F.when(F.col("__pick").isNotNull() & at_zone.isNotNull(), utc_text))
             .withColumn("fuzzy_date", F.when(F.col("__pick").isNotNull(), fuzzy))
-            .drop("__src", "__zone", "__v", "__raw", "__all", "__sig", "__pick"))
+            .drop("__src", "__zone", "__v", "__all", "__sig", "__pick"))

@@ -49,21 +49,29 @@ def p4_descendants(spark: SparkSession, sf: str) -> DataFrame:
     return descendants(resolve_hierarchy(table(spark, sf, "division"), "id", "redirect")).select(F.col("ancestor").alias("id"), F.col("descendant").alias("descendant_id"), "distance")
 
 
-def event_times(spark: SparkSession, sf: str, column: str) -> DataFrame:
+def _times(spark: SparkSession, sf: str, prior: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Times of events (both fields in one pass) and birth dates, each with its status."""
     zones = table(spark, sf, "jurisdiction").select("jurisdiction_id", "time_zone").dropDuplicates(["jurisdiction_id"])
-    events = table(spark, sf, "event_listing").select("listing_id", "jurisdiction_id", column).join(F.broadcast(zones), "jurisdiction_id", "left")
-    return normalise_times(events, column, ["jurisdiction_id"], F.col("time_zone"), Rules(century=20))
+    both = F.inline(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in ("start_date", "end_date")]))
+    events = (table(spark, sf, "event_listing").select(F.lit("event_listing").alias("table_name"), F.col("listing_id").alias("record_id"), "jurisdiction_id", both)
+              .join(F.broadcast(zones), "jurisdiction_id", "left"))  # fixed, 51 rows
+    people = table(spark, sf, "person").select(F.lit("person").alias("table_name"), F.col("person_no").alias("record_id"), "jurisdiction_id", F.lit("birth_date").alias("field_name"), F.col("birth_date").alias("value"))
+    return (normalise_times(events, "value", ["jurisdiction_id"], F.col("time_zone"), Rules(century=20, prior=prior or {})),
+            normalise_times(people, "value", ["jurisdiction_id"], None, Rules(century=19, prior=prior or {})))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [event_times(spark, sf, c).filter("time_utc is not null")
-             .select(F.lit("event_listing").alias("table_name"), F.col("listing_id").alias("record_id"), F.lit(c).alias("field_name"), F.col("time_utc").alias("normal_form"))
-             for c in ("start_date", "end_date")]
-    births = normalise_times(table(spark, sf, "person").select("person_no", "jurisdiction_id", "birth_date"), "birth_date", ["jurisdiction_id"], None,
-                             Rules(century=19))
-    parts.append(births.filter("fuzzy_date is not null").select(
-        F.lit("person").alias("table_name"), F.col("person_no").alias("record_id"), F.lit("birth_date").alias("field_name"), F.col("fuzzy_date").alias("normal_form")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    events, births = _times(spark, sf)
+    form = lambda df, c: df.filter(F.col("time_status").isin("resolved", "ambiguous")).select("table_name", "record_id", "field_name", F.col(c).alias("normal_form"))
+    return form(events, "time_utc").unionByName(form(births, "fuzzy_date"))
+
+
+def p5_status(spark: SparkSession, sf: str) -> DataFrame:
+    """What each value came to if month and day may come in either order: sources decide by their other values, or it stays ambiguous."""
+    even = {"mdy": 1.0, "dmy": 1.0}
+    events, births = _times(spark, sf, even)
+    columns = ["table_name", "record_id", "field_name", "time_status", "time_layout", F.round("time_posterior", 6).alias("time_posterior")]
+    return events.select(*columns).unionByName(births.select(*columns))
 
 
 def p7_profile(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
@@ -79,7 +87,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("grp").cast("int").alias("load_no"), "column_name", "finding")
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p5_found": p5_found, "p7_found": p7_found, "p7_profile": p7_profile}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p5_found": p5_found, "p5_status": p5_status, "p7_found": p7_found, "p7_profile": p7_profile}
 
 _BILL = "jurisdiction_id, legislative_session, identifier, title, from_organization, list_sort(classification), list_sort(subject)"
 _LOG = "report_id, jurisdiction_id, object_type, insert_count, update_count, noop_count, start_time, end_time"
