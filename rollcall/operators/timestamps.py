@@ -197,7 +197,7 @@ def normalise_times(df: DataFrame, value: str, source: list[str], zone: Column |
             total = sum(n)
             weight = {f: max(sum(c * p.get(f, 0.0) for c, p in zip(n, post, strict=True)) / total, 1e-12) for f in weight}
         best = [max(p.items(), key=lambda x: (x[1], x[0])) for p in post]
-        return pd.DataFrame({"__src": pdf["__src"], "__sig": pdf["__sig"], "time_layout": [b[0] for b in best], "time_posterior": [b[1] for b in best]})
+        return pd.DataFrame({"__src": list(pdf["__src"]), "__sig": list(pdf["__sig"]), "time_layout": [b[0] for b in best], "time_posterior": [b[1] for b in best]}).astype({"__src": object, "__sig": object, "time_layout": object, "time_posterior": "float64"})
 
     chosen = cut(counted.groupBy("__src").applyInPandas(em, "__src string, __sig string, time_layout string, time_posterior double")).filter("contains(__sig, ',')")
     few = chosen.limit(MAX_CHOICES + 1).count() <= MAX_CHOICES
