@@ -29,7 +29,8 @@ def json_fields(record: Column, fields: list[str]) -> tuple[Column, Column]:
     options = {"allowSingleQuotes": "false", "allowNumericLeadingZeros": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}
     parsed = F.from_json(record, schema + ", `__corrupt` string", options)
     # a parser stops after the first value: what begins and ends otherwise isn't one object
-    valid = record.isNotNull() & F.trim(F.regexp_replace(record, r"\s+", " ")).rlike(r"(?s)^\{.*\}$") & parsed.isNotNull() & parsed["__corrupt"].isNull()
+    bare = F.trim(F.translate(record, "\t\r\n\f\u000b", "     "))
+    valid = record.isNotNull() & bare.startswith("{") & bare.endswith("}") & parsed.isNotNull() & parsed["__corrupt"].isNull()
     columns = []
     for f in fields:
         c = parsed
@@ -49,17 +50,17 @@ def formatting_duplicates(df: DataFrame, key: str, group: list[str], content: Co
     ``first_id`` is the smallest key of the set. Rows that aren't ``valid`` or have a null key are left out.
     Repeated rows (the same key again) count as copies but are listed once.
 
-    Refinement. Classes are first made by invariants that cost little and shuffle as partial counts: group,
-    stripped lengths of the fields, and counts of a few letters and digits. Only rows of classes with
-    several members get the exact key, and only these keys are shuffled. A set holding a third of all rows
-    is counted by partial aggregation; its rows meet their first id by broadcast (see ``attach_by_key``).
+    Refinement. Records are read and stripped once and cut. Classes are first made by what costs little and travels
+    as partial counts: group and stripped lengths of the fields; those with several members are split by counts of a few
+    letters and digits. Only rows of classes that still have several members get the exact key, and only these keys are
+    shuffled further. A set holding a third of all rows is counted by partial aggregation; its rows meet their first id by
+    broadcast (see ``attach_by_key``).
     """
-    rows = df.filter(F.col(key).isNotNull() if valid is None else F.col(key).isNotNull() & valid).select(F.col(key).alias("k"), *group, content.alias("content"))
-    joined = F.array_join("content", "")
-    coarse = rows.withColumn("g", F.xxhash64(*[F.isnull(g) for g in group], *group, F.transform("content", F.length))).withColumn("all", joined)
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), *group, F.when(valid if valid is not None else F.lit(True), content).alias("content"))
+    coarse = rows.withColumn("all", F.array_join("content", "")).withColumn("g", F.xxhash64(*[F.isnull(g) for g in group], *group, F.transform("content", F.length)))
     histogram = [(F.length("all") - F.length(F.translate("all", c, ""))).cast("int") for c in _LETTERS]
-    coarse = coarse.withColumn("h", F.xxhash64(*histogram))
-    classes = coarse.groupBy("g", "h").agg(F.count("*").alias("n"))
+    coarse = cut(coarse.withColumn("h", F.xxhash64(*histogram)).drop("all")).filter("content is not null")
+    classes = cut(coarse.groupBy("g", "h").agg(F.count("*").alias("n")))
     several = attach_by_key(coarse, classes.filter("n > 1"), ["g", "h"], "n", "left_semi", hot_rows)
     exact = cut(several.select("k", F.unhex(F.sha2(F.to_json(F.struct(*group, "content")), 256)).alias("e")))
     sets = exact.groupBy("e").agg(F.min("k").alias("first_id"), F.count("*").alias("n"))
