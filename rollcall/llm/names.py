@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rollcall.session import cut
+
 # fixed values: words around names, and short forms of given names
 TITLES = frozenset(
     "the hon honorable honourable sen senator rep representative del delegate asm assemblymember assemblyman assemblywoman assemblyperson member mr mrs ms miss mx dr prof "
@@ -27,24 +32,53 @@ NICKNAMES = {
     "odette": "detta", "oscar": "ozzie", "pamela": "pam pammy", "patricia": "pat patty tricia trish patti", "quentin": "quint", "rebecca": "becky becca", "richard": "rick dick rich richie ricky", "robert": "bob rob bobby robbie bert",
     "ronald": "ron ronnie", "samuel": "sam sammy", "stephen": "steve", "steven": "steve stevie", "susan": "sue susie suzy", "tamsin": "tammy tam", "theodora": "thea dora teddy theo", "theodore": "ted teddy theo", "thomas": "tom tommy",
     "timothy": "tim timmy", "vera": "vee", "victoria": "vicky tori vicki vic", "vincent": "vince vinny vin", "walter": "walt wally", "william": "bill will billy willie liam", "xavier": "xavi", "yolanda": "yoli", "zachary": "zach zack zac",
-    "ulysses": "uly", "william ": "",
+    "ulysses": "uly",
 }
 # fixed values end
-_SHORT: dict[str, frozenset[str]] = {k.strip(): frozenset(v.split()) for k, v in NICKNAMES.items() if v}
-#: Costs are negative log-likelihoods of what typing does to a name.
-EDIT, ABBREVIATED, INITIAL, NICK, NO_GIVEN, MIDDLE_UNKNOWN, MIDDLE_OTHER, MIDDLE_LEFT_OUT = 2.6, 1.8, 1.2, 0.8, 2.0, 1.6, 4.5, 0.3
-SUFFIX_LEFT_OUT, SUFFIX_ADDED, SUFFIX_OTHER, FAMILY_INITIAL, MISMATCH = 0.8, 3.0, 14.0, 5.0, 30.0
-#: Above this cost a name is likelier to be somebody or something else.
+_SHORT: dict[str, frozenset[str]] = {k: frozenset(v.split()) for k, v in NICKNAMES.items()}
+#: What typing does to a name. Costs are negative log-likelihoods: these are where estimation begins (see ``channel_costs``).
+OPERATIONS = {"edit": 2.6, "abbreviated": 1.8, "initial": 1.2, "nick": 0.8, "no_given": 2.0, "untitled": 1.0, "middle_unknown": 1.6, "middle_other": 4.5, "middle_left_out": 0.3,
+              "suffix_left_out": 0.8, "suffix_added": 3.0, "suffix_other": 14.0, "family_initial": 5.0, "half": 1.2, "by_middle": 2.5}
+MISMATCH = 30.0
+#: Above this cost, by the costs estimation begins with, a name is likelier to be somebody or something else.
 NOBODY = 9.5
+#: A spelling that holds a person's family name as it is and costs less needs no candidates by similar words: those cost an edit or an abbreviation more.
+SETTLED = 1.7
+#: A person's frequency counts by its logarithm to this power: how often somebody is written about says less than how.
+PRIOR_WEIGHT = 0.3
+_BITS = 4
+_AT = {name: _BITS * i for i, name in enumerate(OPERATIONS)}
+#: bits that tell whether the person has a suffix or middle names, and what can happen only to those who do (True) or don't
+_FLAGS = {"suffix": 1 << 60, "middle": 1 << 61}
+_NEEDS = {"suffix_left_out": ("suffix", True), "suffix_other": ("suffix", True), "suffix_added": ("suffix", False), "middle_left_out": ("middle", True), "middle_other": ("middle", True), "middle_unknown": ("middle", False)}
+
+
+@lru_cache(None)
+def _op(name: str, n: int = 1) -> tuple[float, int]:
+    """(cost, operations): how often each operation took place, packed into four bits each."""
+    return OPERATIONS[name] * n, n << _AT[name]
+
+
+def _both(*parts: tuple[float, int]) -> tuple[float, int]:
+    c, o = 0.0, 0
+    for x, y in parts:
+        c += x
+        o += y
+    return c, o
+
+
+_NONE, _FAILS = (0.0, 0), (MISMATCH, 0)
 _LOOKALIKE = str.maketrans("013457@$", "oleastas")
 
 
-@lru_cache(200_000)
+_APOSTROPHES = str.maketrans("", "", "'’ʼ`´‘")
+
+
 def fold(text: str) -> str:
     """Lower case without accents; apostrophes of all kinds are left out."""
-    t = unicodedata.normalize("NFKD", text)
-    t = "".join(c for c in t if not unicodedata.combining(c)).lower()
-    return re.sub(r"['’ʼ`´‘]", "", t)
+    if not text.isascii():
+        text = "".join(c for c in unicodedata.normalize("NFKD", text.translate(_APOSTROPHES)) if not unicodedata.combining(c))
+    return text.lower().translate(_APOSTROPHES)
 
 
 @lru_cache(400_000)
@@ -79,24 +113,44 @@ class Typed:
     titled: bool
 
 
-@lru_cache(200_000)
+    def form(self) -> str:
+        return "\x1f".join((" ".join(self.words), "".join("01"[p] for p in self.pointed), "" if self.comma is None else str(self.comma), self.suffix, self.nick, "1" * self.titled))
+
+    @staticmethod
+    def of(form: str) -> Typed:
+        words, pointed, comma, suffix, nick, titled = form.split("\x1f")
+        return Typed(tuple(words.split(" ")) if words else (), tuple(x == "1" for x in pointed), int(comma) if comma else None, suffix, nick, bool(titled))
+
+
+_NICK = re.compile(r"[\"“”]\s*([^\"“”]+?)\s*[\"“”]|\(([a-z]{2,})\)")
+_NO_NICK = re.compile(r"r|d|i|rep|dem|ind|republican|democratic|democrat|independent|vacancy")
+_BRACKETS = re.compile(r"[\(\[][^()\[\]]*[\)\]]?")
+_DIGIT = re.compile(r"\d")
+_DISTRICT = re.compile(r",?\s+(?:[a-z]{1,4}-)?\d+(?:st|nd|rd|th)?(?: district)?\s*$")
+_PLACE = re.compile(r"\s+of\s+[a-z][a-z .-]*$")
+_WORDS = re.compile(r"[^\s.]+\.?")
+
+
 def parse(name: str) -> Typed:
-    t = fold(name.replace(" ", " ")).strip()
-    t = re.sub(r"\s+", " ", t)
+    t = " ".join(fold(name).split())
     nick = ""
-    m = re.search(r"[\"“”]\s*([^\"“”]+?)\s*[\"“”]|\(([a-z]{2,})\)", t)
-    if m and not re.fullmatch(r"r|d|i|rep|dem|ind|republican|democratic|democrat|independent|vacancy", (m[1] or m[2]).strip()):
-        nick = (m[1] or m[2]).strip()
-        t = t[:m.start()] + " " + t[m.end():]
-    t = re.sub(r"[\(\[][^()\[\]]*[\)\]]?", " ", t)  # party and place
-    t = re.sub(r",?\s+(?:[a-z]{1,4}-)?\d+(?:st|nd|rd|th)?(?: district)?\s*$", " ", t)  # party and district
-    t = re.sub(r"\s+of\s+[a-z][a-z .-]*$", " ", t)
-    t = re.sub(r"\s+-\s+.*$", " ", t)
+    if not t.isascii() or '"' in t or "(" in t or "[" in t:
+        m = _NICK.search(t)
+        if m and not _NO_NICK.fullmatch((m[1] or m[2]).strip()):
+            nick = (m[1] or m[2]).strip()
+            t = t[:m.start()] + " " + t[m.end():]
+        t = _BRACKETS.sub(" ", t)  # party and place
+    if _DIGIT.search(t):
+        t = _DISTRICT.sub(" ", t)  # party and district
+    if " of " in t:
+        t = _PLACE.sub(" ", t)
+    if " - " in t:
+        t = t[:t.index(" - ")]
     head, _, tail = t.partition(",")
     parts: list[tuple[str, bool]] = []
     comma, suffix, titled = None, "", False
     for side, text in enumerate((head, tail.replace(",", " "))):
-        for raw in re.findall(r"[^\s.]+\.?", text):
+        for raw in _WORDS.findall(text):
             word, point = raw.rstrip("."), raw.endswith(".")
             if not word or word == "-":
                 continue
@@ -121,8 +175,17 @@ class Person:
     suffix: str
     family_words: tuple[str, ...] = field(default=())
 
+    def form(self) -> str:
+        return "\x1f".join((self.given, " ".join(self.middles), self.suffix, " ".join(self.family_words)))
+
+
+@lru_cache(50_000)
+def _person_of(form: str) -> Person:
+    given, middles, suffix, family = form.split("\x1f")
+    words = tuple(family.split(" "))
+    return Person(given, tuple(middles.split(" ")) if middles else (), "".join(words), suffix, words)
+
 
-@lru_cache(200_000)
 def person(name: str, given: str, middle: str, family: str, suffix: str) -> Person | None:
     p = parse(name)
     words = list(p.words)
@@ -143,210 +206,340 @@ def person(name: str, given: str, middle: str, family: str, suffix: str) -> Pers
     return Person(words[0] if cut else fold(given or ""), middles, "".join(words[cut:]), p.suffix or SUFFIXES.get(fold(suffix or "").strip("."), ""), tuple(words[cut:]))
 
 
-def _word_cost(typed: str, pointed: bool, full: str, short: frozenset[str] = frozenset()) -> float:
+@lru_cache(400_000)
+def _word_cost(typed: str, pointed: bool, full: str) -> tuple[float, int]:
     """How a given or middle name was typed."""
+    short = _SHORT.get(full, frozenset())
     if typed == full:
-        return 0.0
+        return _NONE
     if len(typed) == 1:
-        return INITIAL if full[:1] == typed else MISMATCH
+        return _op("initial") if full[:1] == typed else _FAILS
     if typed in short:
-        return NICK
+        return _op("nick")
     if full.startswith(typed) and (pointed or len(typed) >= 3):
-        return ABBREVIATED
+        return _op("abbreviated")
     most = 2 if len(full) > 4 else 1
     d = distance(typed, full, most)
     if d <= most:
-        return EDIT * d
-    best = MISMATCH
+        return _op("edit", d)
+    best = _FAILS
     if pointed and len(typed) >= 3 and distance(typed, full[:len(typed)], 1) <= 1:
-        best = ABBREVIATED + EDIT
+        best = _both(_op("abbreviated"), _op("edit"))
     for s in short:
         if len(s) > 3 and distance(typed, s, 1) <= 1:
-            best = min(best, NICK + EDIT)
+            best = min(best, _both(_op("nick"), _op("edit")))
     return best
 
 
-def _family_cost(typed: str, pointed: bool, full: str) -> float:
+@lru_cache(400_000)
+def _family_cost(typed: str, pointed: bool, full: str) -> tuple[float, int]:
     if typed == full:
-        return 0.0
+        return _NONE
     if len(typed) == 1:
-        return FAMILY_INITIAL if full[:1] == typed else MISMATCH
+        return _op("family_initial") if full[:1] == typed else _FAILS
     most = 1 if len(full) < 5 else 2 if len(full) < 10 else 3
     d = distance(typed, full, most)
-    cost = EDIT * d if d <= most else MISMATCH
+    found = _op("edit", d) if d <= most else _FAILS
     if pointed and len(typed) >= 3:
         near = distance(typed, full[:len(typed)], 2)
         if near <= 1 or (near == 2 and len(typed) > 6):
-            cost = min(cost, ABBREVIATED + EDIT * near)
-    return cost
+            found = min(found, _both(_op("abbreviated"), _op("edit", near)))
+    return found
 
 
-def cost(t: Typed, p: Person) -> float:
-    """Negative log-likelihood that ``p`` was typed as ``t``, over the ways to read the words."""
+def cost(t: Typed, p: Person) -> tuple[float, int]:
+    """Negative log-likelihood that ``p`` was typed as ``t``, over the ways to read the words, and the operations of the likeliest."""
     n = len(t.words)
     if not n or not p.family:
-        return MISMATCH
+        return _FAILS
     short = _SHORT.get(p.given, frozenset())
-    if p.suffix == t.suffix:
-        base = 0.0
-    elif not t.suffix:
-        base = SUFFIX_LEFT_OUT
-    else:
-        base = SUFFIX_OTHER if p.suffix else SUFFIX_ADDED
-    best = MISMATCH
+    base = (0.0, _has(p))
+    if p.suffix != t.suffix:
+        base = _both(base, _op("suffix_left_out" if not t.suffix else "suffix_other" if p.suffix else "suffix_added"))
+    best = _FAILS
     width = len(p.family_words)
-    spans = {(i, i + w) for w in {1, width, width + 1} for i in range(n - w + 1)}
-    if t.comma is not None:
-        spans = {(0, t.comma)} | ({(t.comma, n)} if n > t.comma else set())
-    for i, j in spans:
-        if i and j < n and t.comma is None:
-            continue  # the family name stands first or last
+    for i, j in _spans(t, width):
         family = "".join(t.words[i:j])
-        f = min(_family_cost(family, t.pointed[j - 1], p.family), 1.2 + _half(family, p) if "-" in p.family or width > 1 else MISMATCH)
-        if f >= MISMATCH:
+        f = _family_cost(family, t.pointed[j - 1], p.family)
+        if "-" in p.family or width > 1:
+            f = min(f, _both(_op("half"), _half(family, p)))
+        if f[0] >= MISMATCH:
             continue
-        rest = [*zip(t.words[:i], t.pointed[:i], strict=True), *zip(t.words[j:], t.pointed[j:], strict=True)]
-        if t.comma is not None and i:
-            rest = [*zip(t.words[:i], t.pointed[:i], strict=True)]
-        total = f + base
+        rest = _rest(t, i, j)
         if not rest:
-            total += min(NO_GIVEN if t.titled or not p.given else NO_GIVEN + 1, NICK if t.nick and t.nick in short else MISMATCH)
-            best = min(best, total)
+            alone = _op("no_given") if t.titled or not p.given else _both(_op("no_given"), _op("untitled"))
+            best = min(best, _both(f, base, min(alone, _op("nick") if t.nick and t.nick in short else _FAILS)))
             continue
-        g = _word_cost(*rest[0], p.given, short) if p.given else NO_GIVEN
+        g = _word_cost(*rest[0], p.given) if p.given else _op("no_given")
         if t.nick:
-            g = min(g, NICK + 1 if t.nick in short else MISMATCH)
+            g = min(g, _both(_op("nick"), _op("untitled")) if t.nick in short else _FAILS)
         others = rest[1:]
-        if g >= MISMATCH and p.middles and len(rest) == 1:  # goes by the middle name
-            m = min(_word_cost(*rest[0], x, _SHORT.get(x, frozenset())) for x in p.middles)
-            if m < MISMATCH:
-                g, others = 2.5 + m, []
-        if g >= MISMATCH:
+        if g[0] >= MISMATCH and p.middles and len(rest) == 1:  # goes by the middle name
+            m = min(_word_cost(*rest[0], x) for x in p.middles)
+            if m[0] < MISMATCH:
+                g, others = _both(_op("by_middle"), m), []
+        if g[0] >= MISMATCH:
             continue
-        total += g
         if not others:
-            total += MIDDLE_LEFT_OUT if p.middles else 0.0
+            middle = _op("middle_left_out") if p.middles else _NONE
         elif not p.middles:
-            total += MIDDLE_UNKNOWN
+            middle = _op("middle_unknown")
         else:
-            near = sum(min(_word_cost(w, q, x, _SHORT.get(x, frozenset())) for x in p.middles) for w, q in others)
-            total += min(near * 0.7, MIDDLE_OTHER)
-        best = min(best, total)
+            near = _both(*(min(_word_cost(w, q, x) for x in p.middles) for w, q in others))
+            middle = min((near[0] * 0.7, near[1]), _op("middle_other"))
+        best = min(best, _both(f, base, g, middle))
     return best
 
 
-def _half(typed: str, p: Person) -> float:
+def _has(p: Person) -> int:
+    return (_FLAGS["suffix"] if p.suffix else 0) | (_FLAGS["middle"] if p.middles else 0)
+
+
+def _spans(t: Typed, width: int) -> set[tuple[int, int]]:
+    """Where the family name may stand: first or last, or on one side of the comma."""
+    n = len(t.words)
+    if t.comma is not None:
+        return {(0, t.comma)} | ({(t.comma, n)} if n > t.comma else set())
+    return {span for w in {1, width, width + 1} if w <= n for span in ((0, w), (n - w, n))}
+
+
+def _rest(t: Typed, i: int, j: int) -> list[tuple[str, bool]]:
+    before = [*zip(t.words[:i], t.pointed[:i], strict=True)]
+    return before if t.comma is not None and i else [*before, *zip(t.words[j:], t.pointed[j:], strict=True)]
+
+
+def unknown_given(t: Typed, p: Person) -> tuple[tuple[float, int], str] | None:
+    """If but for the given name ``p`` may have been typed as ``t``: (cost, operations) as if it were a nickname, and the given name as typed."""
+    found = []
+    for i, j in _spans(t, len(p.family_words)):
+        f, rest = _family_cost("".join(t.words[i:j]), t.pointed[j - 1], p.family), _rest(t, i, j)
+        if f[0] <= OPERATIONS["edit"] and rest and len(rest[0][0]) > 1:
+            found.append((_both(f, _op("nick"), (0.0, _has(p))), rest[0][0]))
+    return min(found) if found and p.given and p.suffix == (t.suffix or p.suffix) else None
+
+
+def _half(typed: str, p: Person) -> tuple[float, int]:
     """Only one part of a double or particled family name was typed."""
     parts = [x for x in re.split(r"-", p.family) if x] if "-" in p.family else list(p.family_words[-1:])
-    return min((_family_cost(typed, False, x) for x in parts if len(x) > 3), default=MISMATCH)
+    return min((_family_cost(typed, False, x) for x in parts if len(x) > 3), default=_FAILS)
 
 
-def typed_keys(name: str) -> set[str]:
-    t = parse(name)
-    keys: set[str] = set()
-    for w in {*t.words, "".join(t.words[:2]), "".join(t.words[-2:]), "".join(t.words[-3:]), *(p for w in t.words for p in w.split("-"))}:
-        keys |= _near(w)
-    return keys | {"<" + w[:3] for w, point in zip(t.words, t.pointed, strict=True) if point and 3 <= len(w) <= 6}
+def typed_words(t: Typed) -> set[str]:
+    """What may be the family name: words at the beginning or the end, or one side of the comma."""
+    w = t.words
+    if t.comma is not None:
+        return {"".join(w[:t.comma]), "".join(w[t.comma:])} - {""}
+    return {"".join(w[:k]) for k in (1, 2, 3)} | {"".join(w[-k:]) for k in (1, 2, 3)} - {""}
+
+
+def family_words(p: Person | None) -> set[str]:
+    return set() if p is None else {p.family, *p.family_words, *p.family.split("-")} - {""}
+
+
+def typed_keys(t: Typed) -> set[str]:
+    keys = set().union(*map(_near, typed_words(t)))
+    return keys | {"<" + w[:3] for w, point in zip(t.words, t.pointed, strict=True) if point and 3 <= len(w) <= 6} | {"." + a + w for a, w in _with_initial(t)}
+
+
+def _with_initial(t: Typed) -> list[tuple[str, str]]:
+    """(initial, given name) of names whose family is one letter: ``John S.``"""
+    return [(w, g) for w in t.words if len(w) == 1 for g in t.words if len(g) > 1] if len(t.words) <= 3 else []
 
 
 def person_keys(p: Person | None) -> set[str]:
     if p is None:
         return set()
-    keys: set[str] = set()
-    for w in {p.family, *p.family_words, *(x for x in p.family.split("-"))}:
-        keys |= _near(w) | {"<" + w[:3]}
-    return keys
+    words = family_words(p)
+    return set().union(*map(_near, words)) | {"<" + w[:3] for w in words} | {"." + p.family[:1] + p.given}
 
 
 def _near(w: str) -> set[str]:
-    """A word, all words with one letter less, and its beginnings: two words with two edits between them share one."""
+    """Keys by which similar words meet: the word, all words with one letter less, its beginning, its end, and what is between.
+
+    Two words with one edit, or two edits that leave one of beginning, middle and end as it is, share a key.
+    """
     if len(w) < 3:
         return {"=" + w} if w else set()
-    return {"=" + w, "^" + w[:4], "$" + w[-5:]} | ({"=" + w[:i] + w[i + 1:] for i in range(len(w))} if len(w) > 3 else set())
+    keys = {"=" + w, "^" + w[:4], "$" + w[-5:]}
+    if len(w) > 3:
+        keys |= {"=" + w[:i] + w[i + 1:] for i in range(len(w))}
+    if len(w) > 7:
+        keys |= {"~" + w[i:i + 4] for i in range(2, len(w) - 5)}
+    return keys
 
 
-def attribute_names(typed: DataFrame, people: DataFrame, scope: list[str], name: str, number: str, nobody: float = NOBODY) -> DataFrame:
+def attribute_names(typed: DataFrame, people: DataFrame, scope: list[str], name: str, number: str, nobody: float = NOBODY, prior_weight: float = PRIOR_WEIGHT) -> DataFrame:
     """(scope, ``name``, ``number``, ``posterior``, ``cost``): each distinct typed name with the person it stands for.
 
-    ``typed`` has the scope, ``name``, and may have ``district`` (as typed) and ``hint`` (the number of a person
-    whose own record holds the name). ``people`` has the scope, ``number``, ``full_name``, ``given``, ``middle``,
-    ``family``, ``suffix`` and ``district``. Names are kept byte for byte. Names that fit nobody (cost above
-    ``nobody``), or two people equally well, are left out, as are null, blank names and null scopes.
+    ``typed`` has the scope, ``name``, and may have ``district`` (as typed). ``people`` has the scope, ``number``,
+    ``full_name``, ``given``, ``middle``, ``family``, ``suffix`` and ``district``. Names are kept byte for byte. Names
+    that fit nobody (cost above ``nobody``), or two people equally well, are left out, as are null, blank names and null
+    scopes. ``number`` may be of any type.
 
     Method. Typed rows are counted per distinct spelling before anything else, so a spelling with a third of all rows
-    is one row. Spellings and people meet by keys (words, words less a letter, beginnings) within the
-    scope; no pairs of a whole scope are made. A person's prior is how often their full name is typed
-    exactly; the likelihood adds up edits, swaps, initials, abbreviations, nicknames, parts left out or added, and what
-    district and record say. Each spelling goes to the greatest posterior.
+    is one row. Spellings meet people of the scope by a word that is a family name as it is; those not settled so meet
+    them by keys of similar words. No pairs of a whole scope are made, and keys that would be hot (a common family name
+    in a large scope) are joined with their hot side split. A person's prior is the share of the scope's names that spell
+    their full name; the likelihood adds up what was done to the name (edits, initials, abbreviations, nicknames, parts
+    left out or added), and what the district says. What each operation costs is estimated from the spellings that
+    only one person can stand for (``channel_costs``). Each spelling goes to the greatest posterior.
     """
-    has = set(typed.columns)
+    spark, has = typed.sparkSession, set(typed.columns)
     district = F.regexp_replace(F.trim(F.col("district")), "^0+", "") if "district" in has else F.lit(None).cast("string")
-    rows = typed.filter(F.col(name).isNotNull() & (F.trim(name) != "")).select(
-        *scope, F.col(name).alias("name"), F.when(district != "", district).alias("district"), (F.col("hint") if "hint" in has else F.lit(None)).cast("long").alias("hint"))
+    rows = typed.filter(F.col(name).isNotNull() & (F.trim(name) != "")).select(*scope, F.col(name).alias("name"), F.when(district != "", district).alias("district"))
     # spelling and district are counted first, then spellings: bounded by distinct values, whatever the rows
-    per = rows.groupBy(*scope, "name", "district", "hint").agg(F.count("*").alias("n"))
-    spelt = per.groupBy(*scope, "name").agg(F.sum("n").alias("n"), F.max_by("district", F.when(F.col("district").isNotNull(), F.struct("n", "district"))).alias("district"),
-                                            F.max("hint").alias("hint"))
-    full = people.select(*scope, F.col(number).cast("long").alias("number"), "full_name", "given", "middle", "family", "suffix", F.regexp_replace(F.trim("district"), "^0+", "").alias("home"))
-    prior = spelt.select(*scope, F.col("name").alias("full_name"), F.col("n").alias("prior"))
-    full = full.join(prior, [*scope, "full_name"], "left")
-
-    # keys travel as hashes: a collision only adds a candidate, which is scored and held to its own scope
-    spelt = spelt.withColumn("sid", F.xxhash64(*scope, "name"))
-    t_keys = spelt.select(F.xxhash64(*scope).alias("sh"), "sid", "name").mapInArrow(_keys_of(lambda x: typed_keys(x[0])), "sh long, id long, key string")
-    p_keys = full.select(F.xxhash64(*scope).alias("sh"), "number", "full_name", "given", "middle", "family", "suffix").mapInArrow(
-        _keys_of(lambda x: person_keys(person(*(y or "" for y in x))) if x[0] else set()), "sh long, id long, key string")
-    hashed = lambda df, name: df.select(F.xxhash64("sh", "key").alias("key"), F.col("id").alias(name))
-    pairs = hashed(t_keys, "sid").join(hashed(p_keys, "number"), "key").select("sid", "number")
-    pairs = pairs.unionByName(spelt.filter("hint is not null").select("sid", F.col("hint").alias("number"))).distinct()
-    own = full.select("number", *[F.col(c).alias(f"__{c}") for c in scope], "full_name", "given", "middle", "family", "suffix", "home", "prior")
-    same = F.lit(True)
-    for c in scope:
-        same = same & (F.col(c) == F.col(f"__{c}"))
-    rich = pairs.join(spelt.select(*scope, "sid", "name", "district", "hint"), "sid").join(own, "number").filter(same)
-    scored = rich.select(*scope, "name", "number", "full_name", "given", "middle", "family", "suffix",
-                         (F.col("hint").eqNullSafe(F.col("number"))).alias("own"), (F.col("district") == F.col("home")).alias("near"), "prior")
-    kinds = ", ".join(f"`{c}` {people.schema[c].dataType.simpleString()}" for c in scope)
-    scored = scored.mapInArrow(_score(len(scope), nobody), f"{kinds}, name string, number long, cost double, score double")
+    per = rows.groupBy(*scope, "name", "district").agg(F.count("*").alias("n"))
+    spelt = per.groupBy(*scope, "name").agg(F.sum("n").alias("n"), F.max_by("district", F.when(F.col("district").isNotNull(), F.struct("n", "district"))).alias("district"))
+    spelt = cut(spelt.dropna(subset=scope).withColumn("sh", F.xxhash64(*scope)).withColumn("sid", F.xxhash64(*scope, "name")))
+    full = people.select(*scope, F.col(number).alias("number"), "full_name", "given", "middle", "family", "suffix", F.regexp_replace(F.trim("district"), "^0+", "").alias("home")).dropna(subset=scope).withColumn("pid", F.xxhash64(*scope, "number"))
+    totals = spelt.groupBy(*scope).agg((F.sum("n") + F.count("*")).alias("total"))
+    exact = spelt.select(*scope, F.col("name").alias("full_name"), F.col("n").alias("exactly"))
+    full = (full.join(exact, [*scope, "full_name"], "left").join(totals, scope, "left")
+               .withColumn("prior", F.log((F.coalesce("exactly", F.lit(0)) + 1) / (F.coalesce("total", F.lit(0)) + 1))).drop("exactly", "total"))
+    kinds = {c: people.schema[c].dataType.simpleString() for c in scope} | {"number": people.schema[number].dataType.simpleString()}
+
+    typed_kinds = ", ".join([*(f"`{c}` {k}" for c, k in kinds.items() if c != "number"), "name string, district string, sh long, sid long, form string, words array<long>"])
+    own_kinds = ", ".join([*(f"`__{c}` {k}" for c, k in kinds.items() if c != "number"), f"number {kinds['number']}, full_name string, home string, prior double, pid long, form string, words array<long>, keys array<long>"])
+    spelt = cut(spelt.select(*scope, "name", "district", "sh", "sid").mapInArrow(_typed_forms(len(scope)), typed_kinds))
+    own = cut(full.select(*[F.col(c).alias(f"__{c}") for c in scope], "number", "full_name", "home", "prior", "pid", F.xxhash64(*scope).alias("sh"), "given", "middle", "family", "suffix")
+              .mapInArrow(_person_forms(len(scope)), own_kinds)).withColumnRenamed("form", "person_form")
+
+    # a candidate is a few bytes but costs much: as many tasks as there are, not as the size of the pairs makes them
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        """Candidates by shared keys; keys travel as hashes, a collision only adds a candidate that is scored in its own scope."""
+        same = F.lit(True)
+        for c in scope:
+            same = same & (F.col(c) == F.col(f"__{c}"))
+        rich = pairs.join(spelt.drop("words"), "sid").join(own.drop("words", "keys"), "pid").filter(same)
+        head = ", ".join(f"`{c}` {k}" for c, k in kinds.items())
+        return rich.select(*scope, "number", "sid", "pid", "prior", "name", (F.col("district") == F.col("home")).alias("near"), "full_name", "form", "person_form").repartition(tasks, "sid", "pid").mapInArrow(
+            _score(len(scope) + 5, nobody), f"{head}, sid long, pid long, prior double, name string, near boolean, first double, operations long, given string, as_typed string")
+
+    of = lambda df, key, keys: df.select(key, F.explode(keys).alias("key"))
+    word_pairs = cut(of(spelt, "sid", "words").join(of(own, "pid", "words"), "key").select("sid", "pid").distinct())
+    by_word = cut(scored(word_pairs))
+    settled = by_word.filter((F.col("first") < SETTLED) & F.col("given").isNull()).select("sid").distinct()
+    unsettled = spelt.join(settled, "sid", "left_anti").select("sh", "sid", "form").mapInArrow(_similar_keys, "key long, sid long")
+    by_key = cut(scored(unsettled.join(of(own, "pid", "keys"), "key").select("sid", "pid").distinct().join(word_pairs, ["sid", "pid"], "left_anti")))
+    both = by_word.unionByName(by_key)
+    fitting = both.filter("given is null")
+    unknown = both.filter("given is not null")
+    found = fitting.unionByName(unknown.join(learnt_nicknames(unknown.join(fitting.select("sid"), "sid", "left_anti")), ["given", "as_typed"]).select(both.columns)).drop("given", "as_typed")
+    costs = channel_costs(found)
+    counted = {name: F.shiftrightunsigned("operations", at).bitwiseAND((1 << _BITS) - 1) for name, at in _AT.items()}
+    likelihood = reduce(lambda a, b: a + b, [F.lit(costs[name]) * n for name, n in counted.items()])
+    # the district as typed speaks for or against
+    score = prior_weight * F.col("prior") - likelihood + F.when(F.col("near"), 1.0).when(~F.col("near"), -1.5).otherwise(0.0)
     # a spelling has few candidates: those that share a key with it
-    by_score = Window.partitionBy(*scope, "name").orderBy(F.desc("score"), "number")
-    best = (scored.withColumn("rank", F.row_number().over(by_score)).withColumn("next", F.lead("score").over(by_score))
-            .withColumn("all", F.sum(F.exp("score")).over(Window.partitionBy(*scope, "name"))).filter("rank = 1"))
+    by_score = Window.partitionBy("sid").orderBy(F.desc("score"), "pid")
+    best = (found.withColumn("score", score).withColumn("rank", F.row_number().over(by_score)).withColumn("next", F.lead("score").over(by_score))
+            .withColumn("all", F.sum(F.exp(F.col("score") - F.max("score").over(Window.partitionBy("sid")))).over(Window.partitionBy("sid"))).filter("rank = 1"))
     return (best.filter(F.col("next").isNull() | (F.col("score") - F.col("next") > 0.05))
-            .select(*scope, F.col("name").alias(name), F.col("number").alias(number), (F.exp("score") / F.col("all")).alias("posterior"), "cost"))
+            .select(*scope, F.col("name").alias(name), F.col("number").alias(number), (1 / F.col("all")).alias("posterior"), likelihood.alias("cost")))
+
+
+def learnt_nicknames(unknown: DataFrame, least: int = 3, lift: float = 0.1) -> DataFrame:
+    """(``given``, ``as_typed``): short forms no list knows, from spellings that would stand for one person but for the given name.
+
+    A pair counts once a person; it is learnt if ``least`` people are so called and it is no coincidence of namesakes: its
+    squared count is at least ``lift`` of the product of all counts of either name.
+    """
+    alone = unknown.groupBy("sid").agg(F.count("*").alias("n"), F.first("pid").alias("pid"), F.first("given").alias("given"), F.first("as_typed").alias("as_typed")).filter("n = 1")
+    pairs = alone.select("pid", "given", "as_typed").distinct().groupBy("given", "as_typed").agg(F.count("*").alias("n"))
+    of = lambda c: pairs.groupBy(c).agg(F.sum("n").alias(f"of_{c}"))
+    return pairs.filter(F.col("n") >= least).join(of("given"), "given").join(of("as_typed"), "as_typed").filter(F.col("n") * F.col("n") >= lift * F.col("of_given") * F.col("of_as_typed")).select("given", "as_typed")
+
 
+def channel_costs(found: DataFrame) -> dict[str, float]:
+    """The cost of each operation, estimated: minus the logarithm of how often it is met where it can be told.
 
-def _keys_of(keys):
-    """(scope hash, id, values ...) to a row for each key of the values."""
+    Counted are all spellings with one candidate, or whose second costs an edit more by the costs to begin with; one row
+    of sums comes to the driver. What can only happen to people with a suffix or middle names is counted among those.
+    A hundred spellings at the first costs are added, so without data these hold; no cost is below 0.05.
+    """
+    by_cost = Window.partitionBy("sid").orderBy("first", "pid")
+    clear = (found.withColumn("rank", F.row_number().over(by_cost)).withColumn("next", F.lead("first").over(by_cost))
+             .filter((F.col("rank") == 1) & (F.col("next").isNull() | (F.col("next") - F.col("first") >= OPERATIONS["edit"]))))
+    flag = lambda k, has: F.col("operations").bitwiseAND(_FLAGS[k]) != 0 if has else F.col("operations").bitwiseAND(_FLAGS[k]) == 0
+    sums = clear.agg(F.count("*").alias("n"), *[F.count_if(flag(k, has)).alias(f"{k}_{has}") for k in _FLAGS for has in (True, False)],
+                     *[F.coalesce(F.sum(F.shiftrightunsigned("operations", at).bitwiseAND((1 << _BITS) - 1)), F.lit(0)).alias(name) for name, at in _AT.items()]).first()
+    weight = 100.0
+    out = {}
+    for name, first in OPERATIONS.items():
+        of = sums["{}_{}".format(*_NEEDS[name])] if name in _NEEDS else sums["n"]
+        out[name] = max(0.05, -math.log((sums[name] + weight * math.exp(-first)) / (of + weight)))
+    return out
+
+
+def _hashes(scope: int, keys: set[str]) -> list[int]:
+    """64-bit hashes of scope and key, as signed numbers."""
+    seed = scope & (1 << 64) - 1
+    return [h - (1 << 64) if h >> 63 else h for h in (xxhash.xxh3_64_intdigest(k, seed) for k in keys)]
+
+
+def _with(batch: pa.RecordBatch, kept: int, **more: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns[:kept], *more.values()], names=[*batch.schema.names[:kept], *more])
+
+
+def _typed_forms(scope: int):
+    """Adds how each name was read, and hashes of its words; columns: scope, name, district, sh, sid."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(keys(r)) for r in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
-            at = pa.array([i for i, ks in enumerate(found) for _ in ks], pa.int64())
-            flat = pa.array([k for ks in found for k in ks], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), flat], names=["sh", "id", "key"])
+            read = [parse(x) for x in batch.column(scope).to_pylist()]
+            words = [_hashes(h, {"=" + w for w in typed_words(t)}) for h, t in zip(batch.column(scope + 2).to_pylist(), read, strict=True)]
+            yield _with(batch, scope + 4, form=pa.array([t.form() for t in read], pa.string()), words=pa.array(words, pa.list_(pa.int64())))
     return run
 
 
-def _score(scope: int, nobody: float):
-    import math
+def _person_forms(scope: int):
+    """Likewise for people, and keys of similar words; columns: scope, number, full_name, home, prior, pid, sh, given, middle, family, suffix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [c.to_pylist() for c in batch.columns[scope:]]
+            read = [person(full or "", *(y or "" for y in rest)) for full, *rest in zip(parts[1], *parts[6:], strict=True)]
+            kinds = pa.list_(pa.int64())
+            words = [_hashes(h, {"=" + w for w in family_words(p)}) for h, p in zip(parts[5], read, strict=True)]
+            keys = [_hashes(h, person_keys(p)) for h, p in zip(parts[5], read, strict=True)]
+            yield _with(batch, scope + 5, form=pa.array([p.form() if p else None for p in read], pa.string()), words=pa.array(words, kinds), keys=pa.array(keys, kinds))
+    return run
+
+
+def _similar_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sh, sid, form) to a row for each key of similar words."""
+    for batch in batches:
+        found = [_hashes(h, typed_keys(Typed.of(f))) for h, f in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+        yield pa.RecordBatch.from_arrays([pa.array([k for x in found for k in x], pa.int64()), batch.column(1).take(pa.array(at, pa.int64()))], names=["key", "sid"])
 
+
+def _score(kept: int, nobody: float):
+    """Rows of the first ``kept`` columns (the last is the name), near, full_name and both forms: those likely enough, with cost and operations.
+
+    Where only the given name doesn't fit, it and what was typed for it are told: such a row counts if the two are learnt to be one.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, costs, scores = [], [], []
-            cols = [c.to_pylist() for c in batch.columns[scope:]]
-            for i, (name, _, full, given, middle, family, suffix, own, near, prior) in enumerate(zip(*cols, strict=True)):
-                p = person(full or "", given or "", middle or "", family or "", suffix or "")
-                c = 0.0 if name == full else cost(parse(name), p) if p else MISMATCH
-                # the district as typed speaks for or against; a person's own record holds their names
-                if near:
-                    c -= 1.0
-                if own:
-                    c = min(c - 4.0, nobody - 0.5)
-                if c <= nobody:
+            keep, costs, operations, givens, as_typed = [], [], [], [], []
+            for i, (name, near, full, form, of) in enumerate(zip(*(c.to_pylist() for c in batch.columns[kept - 1:]), strict=True)):
+                given = typed = None
+                if name == full:
+                    c, o = 0.0, _has(_person_of(of)) if of else 0
+                elif of:
+                    t, p = Typed.of(form), _person_of(of)
+                    c, o = cost(t, p)
+                    if c >= MISMATCH and (known := unknown_given(t, p)):
+                        (c, o), given, typed = known[0], p.given, known[1]
+                else:
+                    c, o = _FAILS
+                if c - (1.0 if near else 0.0) <= nobody:
                     keep.append(i)
                     costs.append(c)
-                    scores.append(-c - (1.5 if near is False else 0.0) + 0.3 * math.log1p(prior or 0))
+                    operations.append(o)
+                    givens.append(given)
+                    as_typed.append(typed)
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns[:scope + 2]), pa.array(costs, pa.float64()), pa.array(scores, pa.float64())],
-                                             names=[*batch.schema.names[:scope + 2], "cost", "score"])
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns[:kept + 1]), pa.array(costs, pa.float64()), pa.array(operations, pa.int64()), pa.array(givens, pa.string()), pa.array(as_typed, pa.string())],
+                                             names=[*batch.schema.names[:kept + 1], "first", "operations", "given", "as_typed"])
     return run

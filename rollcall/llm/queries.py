@@ -17,10 +17,9 @@ EVENT_FIELDS = ["name", "description", "classification", "start_date", "status",
 def p1_posteriors(spark: SparkSession, sf: str) -> DataFrame:
     scope = ["jurisdiction_id", "legislative_session"]
     people = table(spark, sf, "person")
-    none = F.lit(None)
-    scraped = table(spark, sf, "scrape_person").select(*scope, "name", "district", none.cast("long").alias("hint"))
-    others = people.select(*scope, "person_no", "district", F.explode("other_names").alias("o")).select(*scope, F.col("o.name").alias("name"), "district", F.col("person_no").alias("hint"))
-    reports = table(spark, sf, "session_quality_report").select(*scope, F.explode(F.map_keys("unmatched_sponsor_people")).alias("name")).select(*scope, "name", none.cast("string").alias("district"), none.cast("long").alias("hint"))
+    scraped = table(spark, sf, "scrape_person").select(*scope, "name", "district")
+    others = people.select(*scope, "district", F.explode("other_names").alias("o")).select(*scope, F.col("o.name").alias("name"), "district")
+    reports = table(spark, sf, "session_quality_report").select(*scope, F.explode(F.map_keys("unmatched_sponsor_people")).alias("name")).select(*scope, "name", F.lit(None).cast("string").alias("district"))
     full = people.select(*scope, "person_no", F.col("name").alias("full_name"), F.col("given_name").alias("given"), F.col("middle_name").alias("middle"), F.col("family_name").alias("family"), "suffix", "district")
     return attribute_names(scraped.unionByName(others).unionByName(reports), full, scope, "name", "person_no")
 
