@@ -15,7 +15,7 @@ def pseudo_id(**parts: Column) -> Column:
 
 def read_pseudo_id(c: Column) -> Column:
     """Properties of a pseudo id, or null where it isn't one."""
-    return F.when(c.startswith("~"), F.from_json(F.substring(c, 2, 1_000_000), SPEC))
+    return F.when(c.startswith("~"), F.from_json(F.substr(c, F.lit(2)), SPEC))
 
 
 def pseudo_organization(classification: Column, org_id: Column, default: str | None = None) -> Column:
@@ -27,9 +27,9 @@ def pseudo_organization(classification: Column, org_id: Column, default: str | N
 
 
 def canonical_hash(*cols: Column) -> Column:
-    """Content hash that keeps array order and null positions; map entries count in any order."""
-    flagged = [x for c in cols for x in (F.isnull(c), c)]
-    return F.xxhash64(*flagged)
+    """256-bit content digest that keeps array order and null positions. Maps are given as ``sorted_map`` so that their order doesn't count."""
+    parts = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cols)])
+    return F.sha2(F.to_json(parts, {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}), 256)
 
 
 def sorted_map(c: Column) -> Column:
@@ -43,6 +43,7 @@ def bill_key(jurisdiction: Column, session: Column, identifier: Column) -> Colum
     return F.concat_ws("-", F.lit("ocd-bill"), F.when(state == "", "us").otherwise(state), clean(session), clean(identifier))
 
 
+#: fixed value: how a uuid is written
 UUID = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 
 
@@ -65,7 +66,7 @@ def name_uuid(namespace: str, name: Column) -> Column:
 def division_parts(c: Column, country: Column) -> Column:
     """Levels below the country as an array of struct(subtype, subid); null if the id is of another country or too deep."""
     parts = F.split(c, "/")
-    below = F.slice(parts, 3, 100)
+    below = F.slice(parts, F.lit(3), F.greatest(F.size(parts), F.lit(1)))
     ok = c.startswith("ocd-division/") & (F.get(parts, F.lit(1)) == F.concat(F.lit("country:"), country)) & (F.size(below) <= 7)
     return F.when(ok, F.transform(below, lambda x: F.struct(F.split(x, ":", 2)[0].alias("subtype"), F.get(F.split(x, ":", 2), F.lit(1)).alias("subid"))))
 

@@ -93,7 +93,7 @@ def org_name(c: Column) -> Column:
     """A committee's name for comparison: each run of letters capitalised, small joining words (anywhere, even inside words) lower, ``&`` spelt out."""
     titled = F.array_join(F.transform(
         F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), 1),
-        lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 100_000)))), "")
+        lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))), "")
     for word in ("and", "at", "by", "for", "in", "on", "of", "the"):
         titled = F.regexp_replace(titled, f"(?i){word}", word)
     return F.replace(titled, F.lit(" & "), F.lit(" and "))
@@ -153,3 +153,8 @@ def office_name(name: Column, classification: Column) -> Column:
 def contains_word(c: Column, query: str) -> Column:
     """Case-insensitive substring, taken literally."""
     return F.lower(c).contains(query.lower())
+
+
+def lacks(c: Column, part: str) -> Column:
+    """Whether a text doesn't hold ``part``, taken literally and as it is written."""
+    return ~c.contains(part)

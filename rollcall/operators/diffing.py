@@ -24,10 +24,15 @@ def multiset_equal(a: Column, b: Column, ordered: bool = False) -> Column:
 
 
 def set_equal(df: DataFrame, other: DataFrame, by: list[str], items: list[str]) -> DataFrame:
-    """Per group whether both tables hold the same set of item tuples."""
-    pack = lambda d, n: d.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct(*items))).alias(n))
-    both = pack(df, "a").join(pack(other, "b"), by, "full_outer")
-    return both.select(*by, F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("equal"))
+    """Per group whether both tables hold the same set of item tuples (nulls equal): each item is counted, none gathered."""
+    sides = df.select(*by, *items, F.lit(1).alias("__a"), F.lit(0).alias("__b")).unionByName(other.select(*by, *items, F.lit(0).alias("__a"), F.lit(1).alias("__b")))
+    return sides.groupBy(*by, *items).agg(F.max("__a").alias("__a"), F.max("__b").alias("__b")).groupBy(*by).agg(F.bool_and(F.col("__a") == F.col("__b")).alias("equal"))
+
+
+def multiset_differences(df: DataFrame, by: list[str], item: Column, side: Column) -> DataFrame:
+    """(``by``, only_old, only_new): how many items more one side holds; ``side`` is true for new rows. Counted by item."""
+    counts = df.groupBy(*by, item.alias("__item")).agg(F.sum(F.when(side, 1).otherwise(-1)).alias("__d"))
+    return counts.groupBy(*by).agg(F.sum(F.greatest(-F.col("__d"), F.lit(0))).alias("only_old"), F.sum(F.greatest("__d", F.lit(0))).alias("only_new"))
 
 
 def replaced(stored: Column, given: Column, multiset: bool = False) -> Column:

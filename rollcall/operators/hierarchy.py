@@ -13,7 +13,6 @@ from rollcall.session import cut
 #: When at most this many nodes are left unpeeled, one task peels them to the end.
 LOCAL_NODES = 100_000
 
-_STATE = "node string, parent string, dangling boolean"
 _SOLVED = "node string, root string, depth int, kind string, path array<string>, subtree long"
 
 
@@ -58,7 +57,7 @@ def resolve_hierarchy(df: DataFrame, node: str, parent: str, with_path: bool = T
     if left > local_nodes:
         solved = _cycles_by_doubling(state)
     else:
-        solved = state.coalesce(1).mapInPandas(_solve_local, schema=_SOLVED)
+        solved = state.coalesce(1).mapInPandas(lambda batches: _solve_local(batches, with_path), schema=_SOLVED)
     solved = cut(solved)
     if not with_path:
         solved = solved.withColumn("path", F.lit(None).cast("array<string>"))
@@ -108,7 +107,7 @@ def _places(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"root": ring[0], "node": ring, "place": range(len(ring)), "ring": len(ring)})
 
 
-def _solve_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _solve_local(batches: Iterator[pd.DataFrame], with_path: bool) -> Iterator[pd.DataFrame]:
     """Peeling of the bounded rest: leaves first, cycles are what stays, then roots and paths in reverse order."""
     parent: dict[str, str | None] = {}
     size: dict[str, int] = {}
@@ -128,7 +127,7 @@ def _solve_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             children[p] -= 1
             if children[p] == 0:
                 peeled.append(p)
-    solved: dict[str, tuple[str, int, str, list[str]]] = {}
+    solved: dict[str, tuple[str, int, str]] = {}
     off = set(peeled)
     for n in parent:
         if n in off or n in solved:
@@ -136,20 +135,33 @@ def _solve_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ring = [n]
         while (nxt := parent[ring[-1]]) != n:
             ring.append(nxt)
-        whole = sum(size[m] for m in ring)
+        whole, low = sum(size[m] for m in ring), min(ring)
         for m in ring:
             size[m] = whole
-            solved[m] = (min(ring), 0, "cycle", [m])
+            solved[m] = (low, 0, "cycle")
     for n in reversed(peeled):
         p = parent[n]
         if p is None:
-            solved[n] = (n, 0, "tree", [n])
+            solved[n] = (n, 0, "tree")
         else:
-            root, depth, kind, path = solved[p]
-            solved[n] = (root, depth + 1, "tree" if kind == "tree" else "into_cycle", [*path, n])
-    rows = [(n, *solved[n], size[n]) for n in parent]
-    for at in range(0, len(rows), 20_000):
-        yield pd.DataFrame(rows[at:at + 20_000], columns=["node", "root", "depth", "kind", "path", "subtree"])
+            root, depth, kind = solved[p]
+            solved[n] = (root, depth + 1, "tree" if kind == "tree" else "into_cycle")
+    rows, held = [], 0
+    for n in parent:
+        root, depth, kind = solved[n]
+        path = None
+        if with_path:  # walked when it is given out, so that only a batch of paths is held
+            path = [n]
+            for _ in range(depth):
+                path.append(parent[path[-1]])
+            path.reverse()
+        rows.append((n, root, depth, kind, path, size[n]))
+        held += 1 + (depth if with_path else 0)
+        if held >= 200_000:
+            yield pd.DataFrame(rows, columns=["node", "root", "depth", "kind", "path", "subtree"])
+            rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["node", "root", "depth", "kind", "path", "subtree"])
 
 
 def _cycles_by_doubling(state: DataFrame) -> DataFrame:

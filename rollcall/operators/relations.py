@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A recursion that gets here fails; it never ends without having come to the end of all links.
-_MOST_LEVELS = 1_000_000
+from rollcall.operators.hierarchy import descendants, resolve_hierarchy
+
 
 
 def missing_children(parents: DataFrame, children: DataFrame, key: str, foreign: str) -> DataFrame:
@@ -53,21 +53,14 @@ def children_of(df: DataFrame, path: str, of: str, depth: int = 1, kind: str | N
     return out.filter(F.element_at(parts, -1).startswith(kind + ":")) if kind else out
 
 
-def ancestors(df: DataFrame, key: str, parent: str, levels: int | None = None) -> DataFrame:
-    """(``key``, ``ancestor``, ``distance``) through parent links by a recursive query, each ancestor once.
+def ancestors(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """(``key``, ``ancestor``, ``distance``) through parent links of any depth, each ancestor once, by the hierarchy operator.
 
-    A branch ends where its links do or come back to a node it holds already. ``levels`` is a bound on purpose (only
-    ancestors up to that distance); without it depth is unbounded, and nothing is left out silently.
+    Parents that are no row of the table are none; nodes of a ring have each other.
     """
-    spark = df.sparkSession
-    view = f"__links_{abs(hash((key, parent, id(df))))}"
-    df.select(F.col(key).alias("k"), F.col(parent).alias("p")).createOrReplaceTempView(view)
-    bound = "" if levels is None else f" AND up.distance < {levels}"
-    return spark.sql(f"""WITH RECURSIVE up(k, ancestor, distance, seen) MAX RECURSION LEVEL {_MOST_LEVELS} AS (
-        SELECT k, p, 1, array(k, p) FROM {view} WHERE p IS NOT NULL AND p <> k
-        UNION ALL SELECT up.k, l.p, up.distance + 1, array_append(up.seen, l.p) FROM up JOIN {view} l ON l.k = up.ancestor
-        WHERE l.p IS NOT NULL AND NOT array_contains(up.seen, l.p){bound})
-        SELECT k AS `{key}`, ancestor, distance FROM up""")
+    kind = df.schema[key].dataType
+    linked = resolve_hierarchy(df.select(F.col(key).cast("string").alias("k"), F.col(parent).cast(kind).cast("string").alias("p")), "k", "p")
+    return descendants(linked).select(F.col("descendant").cast(kind).alias(key), F.col("ancestor").cast(kind).alias("ancestor"), "distance")
 
 
 def entity_name(kind: Column, names: dict[str, Column]) -> Column:

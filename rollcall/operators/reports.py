@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def conditional_counts(df: DataFrame, by: list[str], options: dict[str, Column]) -> DataFrame:
@@ -52,6 +52,31 @@ def quality_report(bills: DataFrame, key: str, children: dict[str, DataFrame], f
     return report.join(counters, by, "left") if by else report.crossJoin(F.broadcast(counters))  # one row each
 
 
+#: the three maps of a report and what they count
+UNMATCHED = ("unmatched_sponsor_people", "unmatched_sponsor_organizations", "unmatched_voters")
+
+
+def session_report(bills: DataFrame, key: str, children: dict[str, DataFrame], foreign: str, votes: DataFrame, unmatched: dict[str, DataFrame], by: list[str]) -> DataFrame:
+    """The whole report a session: the counters of ``quality_report``, ``votes_missing_bill`` and a map of name to count for each of ``unmatched``.
+
+    ``votes`` has ``bill``; each table of ``unmatched`` has ``by`` and ``name``, one row an unresolved reference. Sessions
+    without votes count 0, without unresolved names have an empty map. Written by ``upsert.replace_partition``, it takes
+    the place of the session's report before.
+    """
+    report = quality_report(bills, key, children, foreign, votes, by)
+    report = report.join(votes.groupBy(*by).agg(F.count_if(F.col("bill").isNull()).alias("votes_missing_bill")), by, "left")
+    report = report.fillna(0, [c for c in report.columns if c.startswith("votes_")])
+    for name, rows in unmatched.items():
+        report = report.join(name_counts(rows, "name", F.col("name").isNotNull(), by, name), by, "left").withColumn(name, F.coalesce(name, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))))
+    return report
+
+
+def retried(df: DataFrame, was_error: str, text: str, reason: str) -> DataFrame:
+    """(what, n): how documents that had errors fare when they are read again: ``now_fixed``, ``still_error`` or ``skipped: `` and why."""
+    what = F.when(F.col(reason).isNotNull(), F.concat(F.lit("skipped: "), reason)).when(F.coalesce(F.trim(text), F.lit("")) != "", "now_fixed").otherwise("still_error")
+    return df.filter(was_error).groupBy(what.alias("what")).agg(F.count("*").alias("n"))
+
+
 def coverage(df: DataFrame, by: list[str], missing: Column, error: Column) -> DataFrame:
     """Totals and rounded-up percentages of missing and erroneous rows; null percentages for empty groups."""
     total = F.count("*")
@@ -82,10 +107,30 @@ def without_dominant_groups(df: DataFrame, by: list[str], share: float) -> DataF
 
 
 def duplicate_values(df: DataFrame, value: list[str], owner: str, shown: int = 3) -> DataFrame:
-    """Values held by several owners: how many, the first few, and how many more."""
-    g = df.groupBy(*value).agg(F.count_distinct(owner).alias("owners"), F.min_by(owner, owner).alias("first_owner"), F.slice(F.array_sort(F.collect_set(owner)), 1, shown).alias("__first"))
-    text = F.concat(F.array_join("__first", ", "), F.when(F.col("owners") > shown, F.format_string(" and %d more", F.col("owners") - shown)).otherwise(""))
-    return g.filter("owners > 1").select(*value, "owners", text.alias("held_by"))
+    """Values held by several owners: how many, the first few, and how many more.
+
+    Owners are made distinct, then counted by partial aggregates; of a value only the first ``shown`` are ranked (a
+    limit that is applied before the shuffle too), so no row ever holds all owners of a value.
+    """
+    pairs = df.select(*value, owner).distinct()
+    counts = pairs.groupBy(*value).agg(F.count("*").alias("owners"), F.min(owner).alias("first_owner")).filter("owners > 1")
+    first = first_of(pairs, value, [owner], shown).groupBy(*value).agg(F.array_join(F.array_sort(F.collect_list(owner)), ", ").alias("__first"))
+    text = F.concat("__first", F.when(F.col("owners") > shown, F.format_string(" and %d more", F.col("owners") - shown)).otherwise(""))
+    return counts.join(first, value).select(*value, "owners", text.alias("held_by"))
+
+
+def first_of(df: DataFrame, by: list[str], order: list, n: int) -> DataFrame:
+    """The first ``n`` rows of each group in order."""
+    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("__rank") <= n).drop("__rank")
+
+
+def listed(df: DataFrame, by: list[str], order: list, text: Column, shown: int) -> DataFrame:
+    """(``by``, listed): the first few of each group in order as one text, and how many more there are; only those are gathered."""
+    counts = df.groupBy(*by).agg(F.count("*").alias("__n"))
+    ranked = df.withColumn("__text", text).withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("__rank") <= shown)
+    first = ranked.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__rank", "__text"))), lambda x: x["__text"]), ", ").alias("__first"))
+    more = F.when(F.col("__n") > shown, F.format_string(" and %d more", F.col("__n") - shown)).otherwise("")
+    return counts.join(first, by).select(*by, F.concat("__first", more).alias("listed"))
 
 
 def top_counts(df: DataFrame, by: str, n: int = 10) -> DataFrame:

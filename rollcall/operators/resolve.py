@@ -64,15 +64,58 @@ def resolve_by_names(refs: DataFrame, name: str, people: DataFrame, person_id: s
     return out.withColumn("status", status).withColumnRenamed("__found", "resolved_id").drop("__key", "__ident", "__n")
 
 
-def resolve_organization(refs: DataFrame, name: str, orgs: DataFrame, org_id: str, normal: Column, scope: list[str], party: Column | None = None) -> DataFrame:
-    """Organisations by normalised name or alternative name within the scope; parties are found in any scope."""
-    keys = names_of(orgs, org_id, ["name"], ["other_names"], scope)
-    local = resolve_unique(refs.withColumn("key", F.lower(normal)), keys, [*scope, "key"], org_id)
-    if party is None:
-        return local.drop("key")
-    anywhere = keys.drop(*scope).distinct().groupBy("key").agg(F.min(org_id).alias("__party"))
-    out = local.join(anywhere, "key", "left")
-    return out.withColumn("resolved_id", F.when(party, F.col("__party")).otherwise(F.col("resolved_id"))).withColumn("status", F.when(party & F.col("__party").isNotNull(), "resolved").otherwise(F.col("status"))).drop("key", "__party")
+def resolve_person(refs: DataFrame, people: DataFrame, memberships: DataFrame, person_id: str, names: tuple[list[str], list[str]], scope: list[str], chambers: tuple[str, ...] = ("upper", "lower", "legislature")) -> DataFrame:
+    """``refs`` (scope, name, identifier, chamber, start, end; the last three come back with nulls as the empty text) with ``resolved_id`` and ``status``.
+
+    ``people`` has the id, ``current_role`` (null: none), the columns of ``names`` (plain ones, arrays of struct(name)) and
+    ``identifiers`` (array of text); ``memberships`` has the scope, the id, ``classification``, ``start_date`` and ``end_date``. A person
+    counts if one and the same membership is of the chamber asked for (any of ``chambers`` if none is) and hadn't ended before
+    the session's start nor begun after its end, open and unknown ends counting as such. An identifier that fits one such person decides;
+    otherwise names do, whatever their case. Of several people the only one with a current role is taken.
+    """
+    key = F.coalesce(F.lower(F.trim(F.regexp_replace(F.col("name"), r"(?U)\s+", " "))), F.lit(""))
+    asked = refs.withColumn("__key", key).withColumn("__ident", F.coalesce("identifier", F.lit("")))
+    ref = [*scope, "__key", "__ident", "chamber", "start", "end"]
+    wanted = asked.select(*ref).distinct()  # a name that a third of the rows hold is resolved once
+    seats = memberships.select(*scope, person_id, F.col("classification").alias("__c"), F.coalesce("start_date", F.lit("")).alias("__s"), F.coalesce("end_date", F.lit("")).alias("__e"))
+    serving = (F.when(F.coalesce("chamber", F.lit("")) != "", F.col("__c") == F.col("chamber")).otherwise(F.col("__c").isin(*chambers))
+               & ((F.coalesce("start", F.lit("")) == "") | (F.col("__e") == "") | (F.col("__e") > F.col("start"))) & ((F.coalesce("end", F.lit("")) == "") | (F.col("__s") == "") | (F.col("__s") < F.col("end"))))
+    current = people.select(person_id, F.col("current_role").isNotNull().alias("__live"))
+
+    def pick(keys: DataFrame, on: str, out: str) -> DataFrame:
+        m = wanted.filter(F.col(on) != "").join(keys, on).join(seats, [*scope, person_id]).filter(serving).select(*ref, person_id).distinct().join(current, person_id)
+        live = F.when(F.col("__live"), F.col(person_id))
+        g = m.groupBy(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in ("chamber", "start", "end") else F.col(c) for c in ref]).agg(
+            F.count("*").alias("n"), F.min(person_id).alias("one"), F.count(live).alias("n_live"), F.min(live).alias("live"))
+        return g.select(*ref, F.col("n").alias(f"{out}_n"), F.when(F.col("n") == 1, F.col("one")).when(F.col("n_live") == 1, F.col("live")).alias(out))
+
+    by_name = pick(names_of(people, person_id, *names).withColumnRenamed("key", "__key"), "__key", "__by_name")
+    by_id = pick(people.select(person_id, F.explode("identifiers").alias("__ident")).distinct(), "__ident", "__by_id").drop("__by_id_n")
+    filled = asked.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("chamber", "start", "end")})
+    out = filled.join(by_id, ref, "left").join(by_name, ref, "left")
+    found = F.coalesce("__by_id", "__by_name")
+    status = F.when(found.isNotNull(), "resolved").when(F.coalesce("__by_name_n", F.lit(0)) > 1, "ambiguous").otherwise("unresolved")
+    return out.withColumn("resolved_id", found).withColumn("status", status).drop("__key", "__ident", "__by_id", "__by_name", "__by_name_n")
+
+
+def resolve_organization(refs: DataFrame, orgs: DataFrame, org_id: str, scope: list[str], normal) -> DataFrame:
+    """``refs`` (scope, name, classification, chamber) with ``resolved_id`` and ``status``: by normalised name or alternative name.
+
+    ``normal`` is a function of a name's column. ``orgs`` has the scope, the id, ``name``, ``other_names``, ``classification`` and ``parent_id``. A chamber asks for the class of the
+    organisation's parent, a classification for its own; parties are found in any scope, others in that of the reference.
+    """
+    parents = orgs.select(F.col(org_id).alias("parent_id"), F.col("classification").alias("__chamber")).dropDuplicates(["parent_id"])
+    placed = orgs.join(parents, "parent_id", "left")
+    keys = placed.select(*scope, org_id, "classification", "__chamber", F.explode(F.array_distinct(F.concat(F.array(F.lower("name")), F.transform(F.coalesce("other_names", F.array().cast("array<struct<name:string>>")), lambda x: F.lower(x["name"]))))).alias("__key"))
+    asked = refs.withColumn("__ref", F.xxhash64(*scope, "name", "classification", "chamber")).withColumn("__key", F.lower(normal(F.col("name"))))
+    wanted = asked.select("__ref", *scope, "__key", F.col("classification").alias("__kind"), "chamber").distinct()
+    fits = (F.col("__kind").isNull() | (F.col("__kind") == F.col("classification"))) & (F.col("chamber").isNull() | (F.col("chamber") == F.col("__chamber")))
+    party = F.coalesce(F.col("__kind") == "party", F.lit(False))
+    local = wanted.filter(~party).join(keys, [*scope, "__key"])
+    anywhere = wanted.filter(party).drop(*scope).join(keys.drop(*scope), "__key")
+    found = local.select(*anywhere.columns).unionByName(anywhere).filter(fits).groupBy("__ref").agg(F.count_distinct(org_id).alias("__n"), F.min(org_id).alias("__one"))
+    out = asked.join(found, "__ref", "left")
+    return out.withColumn("resolved_id", F.when(F.col("__n") == 1, F.col("__one"))).withColumn("status", status_of(F.coalesce("__n", F.lit(0)))).drop("__ref", "__key", "__n", "__one")
 
 
 def session_of_date(facts: DataFrame, date: str, sessions: DataFrame, start: str, end: str, session_id: str, scope: list[str] | None = None, most: int = 100_000) -> DataFrame:
@@ -108,8 +151,10 @@ def match_one_to_one(left: DataFrame, right: DataFrame, on: list[str], left_id:
     """Every left row with its only right row; ``none``, ``several`` or ``taken`` (by an earlier left row) give no match."""
     keyed = right.groupBy(*on).agg(F.count_distinct(right_id).alias("__n"), F.min(right_id).alias("__to"))
     joined = left.join(keyed, on, "left")
-    first = joined.filter("__n = 1").groupBy("__to").agg(F.min_by(left_id, F.struct(arrival, left_id)).alias("__first"))
-    out = joined.join(first, "__to", "left")
+    single = joined.filter("__n = 1")
+    first = single.groupBy("__to").agg(F.min_by(left_id, F.struct(arrival, left_id)).alias("__first"))
+    # only rows with one right row meet the second join: the others would all share its null key
+    out = single.join(first, "__to").unionByName(joined.filter("__n is null or __n > 1"), allowMissingColumns=True)
     status = F.when(F.col("__n").isNull(), "none").when(F.col("__n") > 1, "several").when(F.col("__first") != F.col(left_id), "taken").otherwise("matched")
     return out.withColumn("status", status).withColumn("matched_id", F.when(status == "matched", F.col("__to"))).drop("__n", "__to", "__first")
 

@@ -64,14 +64,23 @@ def previous_version_text(df: DataFrame, by: list[str], note: str, date: str, ki
     """Each document with the text of the version before its own: the preferred document of the last version that has text.
 
     Versions (note, date) are ordered by stage; those of unknown stage neither read nor give a text.
+    A null date or note is the empty one. Versions are ordered and matched by the ids of their documents; the texts
+    themselves are joined once.
     """
-    version = [*by, note, date]
-    texts = preferred(df, version, text, kind, prefer, tiebreak).withColumnRenamed(text, "__text")
-    first = df.groupBy(*version).agg(F.min(tiebreak).alias("__id"))
-    ordered = version_order(texts.join(first, version), by, note, date, "__id")
+    rows = df.withColumns({"__note": F.coalesce(note, F.lit("")), "__date": F.coalesce(date, F.lit(""))})
+    version = [*by, "__note", "__date"]
+    rank = F.lit(len(prefer))
+    for i, k in reversed(list(enumerate(prefer))):
+        rank = F.when(F.col(kind) == k, i).otherwise(rank)
+    best = F.min(F.when(F.coalesce(text, F.lit("")) != "", F.struct(rank.alias("rank"), F.col(tiebreak).alias("id"))))["id"]
+    versions = rows.groupBy(*version).agg(best.alias("__text_id"), F.min(tiebreak).alias("__id"))
+    ordered = version_order(versions, by, "__note", "__date", "__id")
     w = Window.partitionBy(*by).orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    prior = ordered.withColumn("previous_text", F.when(F.col("position").isNotNull(), F.last(F.when(F.col("position").isNotNull() & (F.col("__text") != ""), F.col("__text")), ignorenulls=True).over(w)))
-    return df.join(prior.select(*version, "position", "previous_text"), version, "left")
+    known = F.col("position").isNotNull()
+    prior = ordered.withColumn("__from", F.when(known, F.last(F.when(known, F.col("__text_id")), ignorenulls=True).over(w)))
+    texts = df.select(F.col(tiebreak).alias("__from"), F.col(text).alias("previous_text"))
+    placed = prior.select(*version, "position", "__from").join(texts, "__from", "left").drop("__from")
+    return rows.join(placed, version, "left").drop("__note", "__date")
 
 
 def longest_run(df: DataFrame, by: list[str], order: list[str], failed: Column) -> DataFrame:

@@ -249,10 +249,10 @@ def q25_search_contains(spark, sf):
  SELECT r.o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY k) FILTER (k <= 5) || CASE WHEN any_value(n) > 5 THEN ' and ' || (any_value(n) - 5) || ' more' ELSE '' END AS bills,
   count(*) FILTER (o_orderstatus = 'F') || '-' || count(*) FILTER (o_orderstatus = 'O') || '-' || count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS tally FROM r JOIN n ON n.o_custkey = r.o_custkey GROUP BY r.o_custkey""")
 def q26_listing(spark, sf):
-    o = table(spark, sf, "orders").withColumn("neg", -F.unix_timestamp("o_orderdate"))
-    nested = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("neg", "o_orderkey"))).alias("x"), F.count_if(F.col("o_orderstatus") == "F").alias("yes"), F.count_if(F.col("o_orderstatus") == "O").alias("no"), F.count("*").alias("n"))
-    shown = F.array_join(F.transform(F.slice("x", 1, 5), lambda y: y["o_orderkey"].cast("string")), ", ")
-    return nested.select("o_custkey", F.concat(shown, F.when(F.col("n") > 5, F.format_string(" and %d more", F.col("n") - 5)).otherwise("")).alias("bills"), reports.tally_text(F.col("yes"), F.col("no"), F.col("n")).alias("tally"))
+    o = table(spark, sf, "orders")
+    counts = o.groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("yes"), F.count_if(F.col("o_orderstatus") == "O").alias("no"), F.count("*").alias("n"))
+    shown = reports.listed(o, ["o_custkey"], [F.desc("o_orderdate"), F.col("o_orderkey")], F.col("o_orderkey").cast("string"), 5)
+    return counts.join(shown, "o_custkey").select("o_custkey", F.col("listed").alias("bills"), reports.tally_text(F.col("yes"), F.col("no"), F.col("n")).alias("tally"))
 
 
 @probe("SELECT raw_id, jurisdiction_id FROM event_raw WHERE jurisdiction_id NOT IN (SELECT jurisdiction_id FROM event_raw WHERE jurisdiction_id IS NOT NULL GROUP BY 1 HAVING count(*) > 60) OR jurisdiction_id IS NULL")
@@ -320,11 +320,11 @@ def q34_merge_plan(spark, sf):
 
 @probe("""WITH f AS (SELECT l_orderkey, list_sort(list(l_returnflag)) AS s FROM lineitem GROUP BY 1) SELECT o.o_orderkey, coalesce(a.s, []) = coalesce(b.s, []) AS equal FROM orders o LEFT JOIN f a ON a.l_orderkey = o.o_orderkey LEFT JOIN f b ON b.l_orderkey = o.o_orderkey + 1""")
 def q35_multiset_equal(spark, sf):
-    flags = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_returnflag").alias("s"))
-    a = flags.select(F.col("l_orderkey").alias("o_orderkey"), F.col("s").alias("a"))
-    b = flags.select((F.col("l_orderkey") - 1).alias("o_orderkey"), F.col("s").alias("b"))
-    both = table(spark, sf, "orders").select("o_orderkey").join(a, "o_orderkey", "left").join(b, "o_orderkey", "left")
-    return both.select("o_orderkey", diffing.multiset_equal(F.col("a"), F.col("b")).alias("equal"))
+    flags = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    a = flags.select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", F.lit(False).alias("new"))
+    b = flags.select((F.col("l_orderkey") - 1).alias("o_orderkey"), "l_returnflag", F.lit(True).alias("new"))
+    differ = diffing.multiset_differences(a.unionByName(b), ["o_orderkey"], F.col("l_returnflag"), F.col("new"))
+    return table(spark, sf, "orders").select("o_orderkey").join(differ, "o_orderkey", "left").select("o_orderkey", (F.coalesce(F.col("only_old") + F.col("only_new"), F.lit(0)) == 0).alias("equal"))
 
 
 @probe("""WITH e AS (SELECT n_nationkey AS k, seg, n_nationkey % 5 * 3 AS seats FROM nation, (SELECT DISTINCT c_mktsegment AS seg FROM customer) WHERE n_nationkey % 7 <> 0), h AS (SELECT c_nationkey AS k, c_mktsegment AS seg, count(DISTINCT c_custkey) AS held FROM customer GROUP BY 1, 2)
@@ -338,10 +338,10 @@ def q36_seat_coverage(spark, sf):
     return reports.seat_coverage(expected, c, ["c_nationkey", "c_mktsegment"], "seats", "c_custkey")
 
 
-@probe("""WITH g AS (SELECT identifier, count(DISTINCT bill_id) AS owners, list_sort(list(DISTINCT bill_id)) AS l FROM bill_snapshot WHERE snapshot_no = 8 GROUP BY 1)
+@probe("""WITH g AS (SELECT identifier, count(DISTINCT bill_id) AS owners, list_sort(list(DISTINCT bill_id)) AS l FROM bill_snapshot GROUP BY 1)
  SELECT identifier, owners, array_to_string(l[1:3], ', ') || CASE WHEN owners > 3 THEN ' and ' || (owners - 3) || ' more' ELSE '' END AS held_by FROM g WHERE owners > 1 AND identifier IS NOT NULL""")
 def q37_duplicate_values(spark, sf):
-    b = table(spark, sf, "bill_snapshot").filter("snapshot_no = 8 and identifier is not null")
+    b = table(spark, sf, "bill_snapshot").filter("identifier is not null")
     return reports.duplicate_values(b, ["identifier"], "bill_id")
 
 
@@ -383,12 +383,6 @@ def q52_date_window(spark, sf):
     return table(spark, sf, "orders").filter(F.col("o_orderdate").between(low, high)).select("o_orderkey")
 
 
-@probe("SELECT CAST(50 AS BIGINT) AS n, CAST(50 AS BIGINT) AS distinct_docs")
-def q53_random_sample(spark, sf):
-    sample = table(spark, sf, "bill_version_document").select("version_doc_id").orderBy(F.xxhash64(F.lit(7), "version_doc_id"), "version_doc_id").limit(50)
-    return sample.agg(F.count("*").alias("n"), F.count_distinct("version_doc_id").alias("distinct_docs"))
-
-
 @probe("""SELECT c_custkey FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)""")
 def q55a_cascade(spark, sf):
     gone = table(spark, sf, "nation").filter("n_regionkey = 1")
@@ -412,9 +406,9 @@ def q56_top_counts(spark, sf):
     return reports.top_counts(table(spark, sf, "events"), "event_type", 3)
 
 
-@probe("""SELECT object_type, CAST(sum(insert_count) AS BIGINT) AS inserted, CAST(sum(update_count) AS BIGINT) AS updated, CAST(sum(noop_count) AS BIGINT) AS unchanged, strftime(min(start_time) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS started, strftime(max(end_time) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS ended FROM import_objects_snapshot WHERE snapshot_no = 8 GROUP BY 1""")
+@probe("""SELECT object_type, CAST(sum(insert_count) AS BIGINT) AS inserted, CAST(sum(update_count) AS BIGINT) AS updated, CAST(sum(noop_count) AS BIGINT) AS unchanged, strftime(min(start_time) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS started, strftime(max(end_time) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS ended FROM import_objects_snapshot GROUP BY 1""")
 def q57_run_counts(spark, sf):
-    return reports.run_counts(table(spark, sf, "import_objects_snapshot").filter("snapshot_no = 8"), "object_type").withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")})
+    return reports.run_counts(table(spark, sf, "import_objects_snapshot"), "object_type").withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")})
 
 
 @probe("""SELECT DISTINCT legislative_session FROM bill_snapshot WHERE legislative_session NOT IN (SELECT DISTINCT legislative_session FROM person WHERE legislative_session IS NOT NULL)""")
@@ -422,10 +416,10 @@ def q58_unaccounted_sessions(spark, sf):
     return diffing.unaccounted(table(spark, sf, "bill_snapshot").filter("legislative_session is not null"), table(spark, sf, "person"), "legislative_session")
 
 
-@probe("""WITH k AS (SELECT bill_id, CASE WHEN identifier IS NOT NULL THEN 'identifier' || chr(1) || legislative_session || chr(1) || identifier ELSE 'title' || chr(1) || legislative_session || chr(1) || title END AS k FROM bill_snapshot WHERE snapshot_no = 8)
+@probe("""WITH k AS (SELECT bill_id, CASE WHEN identifier IS NOT NULL THEN 'identifier' || chr(1) || legislative_session || chr(1) || identifier ELSE 'title' || chr(1) || legislative_session || chr(1) || title END AS k FROM bill_snapshot)
  SELECT k AS match_key, count(DISTINCT bill_id) AS n FROM k WHERE k IS NOT NULL GROUP BY 1 HAVING count(DISTINCT bill_id) > 1""")
 def q59_match_key_conflicts(spark, sf):
-    b = table(spark, sf, "bill_snapshot").filter("snapshot_no = 8")
+    b = table(spark, sf, "bill_snapshot")
     c = F.col
     key = upsert.match_key([("identifier", [c("legislative_session"), c("identifier")]), ("title", [c("legislative_session"), c("title")])])
     rows = b.select("bill_id", key.alias("match_key")).filter("match_key is not null").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rollcall.functions import ids, text as T, validate as V, versions
 from rollcall.functions.cleaning import PROFILES, clean_pair
 from rollcall.operators import documents, people, rollup
-from rollcall.session import table
+from rollcall.session import scratch_root, table
 from rollcall.sources import files
 from rollcall.streaming import ingest
 
@@ -241,15 +241,19 @@ def q82_replay_counts(spark, sf):
 
 @probe("""SELECT time_bucket(INTERVAL '15 minutes', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def q83_stream_windows(spark, sf):
-    """The windowed counts as a stream: files read as they come, the result taken from the stream's own table."""
+    """The windowed counts as a stream: files read as they come, closed windows appended to a table, open ones counted from what came last."""
     import uuid
 
     e = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet" if _is_folder(spark, sf) else f"{sf}/event[s].parquet")
-    counts = ingest.windowed_counts(e.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], late="3650 days")
-    name = f"windows_{uuid.uuid4().hex}"
-    query = counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    counts = ingest.windowed_counts(e.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], late="1 day")
+    out = f"{scratch_root(spark)}/windows-{uuid.uuid4().hex}"
+    query = (counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").outputMode("append").trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    # windows the watermark hasn't closed yet are those of its last span: a day, counted from the table again
+    closed = spark.read.schema("start timestamp, event_type string, n bigint").parquet(out)
+    last = closed.agg(F.max("start").alias("__last"))
+    rest = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).crossJoin(F.broadcast(last)).filter(F.col("__last").isNull() | (F.col("ts") >= F.col("__last") + F.expr("interval 15 minutes")))  # one row
+    return closed.unionByName(ingest.windowed_counts(rest, "ts", ["event_type"])).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
 def _is_folder(spark: SparkSession, sf: str) -> bool:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +36,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back, so lost executors cost no recomputation.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a session without one
-    (tests, a laptop) gets a temporary folder.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a local session without one (tests, a
+    laptop) gets a temporary folder, which is deleted at exit. A cluster without one is an error.
     """
-    spark = df.sparkSession
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder for what is written and read again; set as the session's checkpoint folder if none is."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rollcall-checkpoint-"))
-    return df.checkpoint(eager=eager)
+        if not named:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="rollcall-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
+    return sc._jsc.sc().getCheckpointDir().get()

@@ -45,18 +45,11 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows in an order that the seed and the key decide: a repeatable random sample."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    return df.orderBy(F.sha2(F.concat(F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)
 
 
 def flat_yaml(text: str) -> dict[str, object]:
     """A record of scalars, lists of scalars and lists of flat records; deeper nesting needs a full parser."""
-    try:
-        import yaml
-
-        return yaml.safe_load(text) or {}
-    except ImportError:
-        pass
-
     def scalar(x: str):
         x = x.strip()
         if x in ("", "null", "~"):

@@ -8,12 +8,12 @@ from collections import Counter
 import duckdb
 import pytest
 
-from rollcall.plans import relational, scalar, training
+from rollcall.plans import records, relational, scalar, training
 
 DATA = os.environ.get("ROLLCALL_TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-QUERIES = {**relational.QUERIES, **scalar.QUERIES, **training.QUERIES}
-SQL = {**relational.SQL, **scalar.SQL, **training.SQL}
+QUERIES = {**relational.QUERIES, **scalar.QUERIES, **records.QUERIES, **training.QUERIES}
+SQL = {**relational.SQL, **scalar.SQL, **records.SQL, **training.SQL}
 
 
 @pytest.fixture(scope="module")
