@@ -34,11 +34,16 @@ def _bag(column: str):
     return F.array_sort(F.transform(F.col(column), lambda x: F.coalesce(F.concat(F.lit("="), x), F.lit(""))))
 
 
-def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    solved = resolve_hierarchy(table(spark, sf, "division"), "id", "redirect", with_path=False)
+def p4_found(spark: SparkSession, sf: str, **how) -> DataFrame:
+    solved = resolve_hierarchy(table(spark, sf, "division"), "id", "redirect", with_path=False, **how)
     return solved.filter("parent is not null").select(F.col("node").alias("id"), F.col("root").alias("root_id"), "depth", "kind")
 
 
+def p4_peeled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same without a task that ends the peeling: rounds and contraction to the last node."""
+    return p4_found(spark, sf, local_nodes=0)
+
+
 def p4_paths(spark: SparkSession, sf: str) -> DataFrame:
     solved = resolve_hierarchy(table(spark, sf, "division"), "id", "redirect")
     return solved.select(F.col("node").alias("id"), F.col("root").alias("root_id"), "depth", "kind", F.array_join("path", " > ").alias("path"), "subtree")
@@ -87,7 +92,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("grp").cast("int").alias("load_no"), "column_name", "finding")
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p5_found": p5_found, "p5_status": p5_status, "p7_found": p7_found, "p7_profile": p7_profile}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_peeled": p4_peeled, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p5_found": p5_found, "p5_status": p5_status, "p7_found": p7_found, "p7_profile": p7_profile}
 
 _BILL = "jurisdiction_id, legislative_session, identifier, title, from_organization, list_sort(classification), list_sort(subject)"
 _LOG = "report_id, jurisdiction_id, object_type, insert_count, update_count, noop_count, start_time, end_time"
@@ -114,6 +119,17 @@ SELECT id, CASE WHEN first_at IS NULL OR first_at = 0 THEN cur ELSE list_min(see
  CASE WHEN first_at IS NULL OR first_at = 0 THEN 'tree' WHEN first_at = 1 THEN 'cycle' ELSE 'into_cycle' END AS kind FROM ends"""
 
 
+_P4_PATHS = """WITH RECURSIVE d AS (SELECT id, min(redirect) AS redirect FROM division WHERE id IS NOT NULL GROUP BY id),
+ links AS (SELECT d.id, p.id AS parent FROM d LEFT JOIN d p ON p.id = d.redirect),
+ walk AS (SELECT id, id AS cur, [id] AS seen FROM links
+   UNION ALL SELECT w.id, l.parent, list_append(w.seen, l.parent) FROM walk w JOIN links l ON l.id = w.cur WHERE l.parent IS NOT NULL AND NOT list_contains(w.seen, l.parent)),
+ whole AS (SELECT id, arg_max(seen, len(seen)) AS seen FROM walk GROUP BY id),
+ closed AS (SELECT w.id, w.seen, list_position(w.seen, l.parent) AS at FROM whole w JOIN links l ON l.id = w.seen[-1]),
+ sizes AS (SELECT cur AS id, count(*) AS subtree FROM walk GROUP BY 1)
+SELECT id, CASE WHEN at > 0 THEN list_min(seen[at:]) ELSE seen[-1] END AS root_id, CAST(CASE WHEN at > 0 THEN at - 1 ELSE len(seen) - 1 END AS INTEGER) AS depth,
+ CASE WHEN at IS NULL OR at = 0 THEN 'tree' WHEN at = 1 THEN 'cycle' ELSE 'into_cycle' END AS kind, array_to_string(list_reverse(CASE WHEN at > 0 THEN seen[1:at] ELSE seen END), ' > ') AS path, subtree FROM closed JOIN sizes USING (id)"""
+
+
 _P4_DESCENDANTS = """WITH RECURSIVE d AS (SELECT id, min(redirect) AS redirect FROM division WHERE id IS NOT NULL GROUP BY id),
  links AS (SELECT d.id, d.redirect AS parent FROM d JOIN d p ON p.id = d.redirect),
  walk AS (SELECT id, id AS cur, 0 AS steps, [id] AS seen FROM links
@@ -138,6 +154,8 @@ def _p7() -> str:
 SQL = {
     "p2_found": f"{_changes('bill_snapshot', 'bill_id', _BILL, 'delivered_at DESC')} UNION ALL {_changes('import_objects_snapshot', 'import_id', _LOG, _LOG)}",
     "p4_found": _P4,
+    "p4_peeled": _P4,
+    "p4_paths": _P4_PATHS,
     "p4_descendants": _P4_DESCENDANTS,
     "p7_found": _p7(),
 }
