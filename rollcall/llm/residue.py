@@ -25,7 +25,7 @@ PLACEHOLDERS = [
 _MARKUP = r"<title>[^<>]*</title>"
 FILLER = [
     r"\blorem ipsum\b", r"\bdolor sit amet\b", r"(?:\binsert (?:your )?(?:bill )?(?:text|title|content) here\b[.!]?\s*)", r"\b(?:bill |your )?(?:text|title|content) goes here\b",
-    r"\b(?:display|show)s? sample text\b", r"\breplace (?:this )?with (?:bill |your )?(?:text|title|content)\b", r"\bx{3,} \w+ x{3,}\b", r"\bsection x{1,3}\.(?=\s|$)", r"\bplaceholder text\b",
+    r"\b(?:sample|placeholder|dummy) text\b", r"\bx{4,12}\b",
 ]
 ERRORS = [
     r"\b(?:40[0-9]|50[0-9])\b\s*[-–:]?\s*(?:bad request|unauthori[sz]ed|forbidden|not found|file or directory not found|page not found|internal server error|bad gateway|service unavailable|gateway time-?out)",
@@ -42,15 +42,17 @@ SCRIPTS = [
 URLS = [
     r"^javascript:", r"^(?:about|data):", r"/(?:undefined|null|nan|none)(?:[/?#.]|$)", r"[?&=](?:nan|null|undefined|none)(?:[?&#]|$)", r"//(?:www\.)?example\.(?:com|org|net)(?:[:/]|$)", r"\blorem[-_]?ipsum\b",
     r"/errors?/(?:\d{3}|not-?found|[\w-]+\.aspx)\b", r"aspxerrorpath=", r"/(?:session-expired|sessiontimeout|not-?found|access-?denied|page-not-found)(?:\.\w+)?(?:[/?#]|$)",
-    r"/(?:enable-javascript|enable-cookies|noscript|javascript-required)(?:[/?#]|$)", r"/yyyy/|/billno\b|\bbillno\.\w+", r"/todo(?:[/?#]|$)|/tbd(?:[/?#]|$)", r"/%[sd](?:[/.?]|$)", r"\[insert\b|insert[-_ ]link[-_ ]here",
+    r"/(?:enable-javascript|enable-cookies|noscript|javascript-required)(?:[/?#]|$)", r"/(?:yyyy|mm|dd)/", r"/(?:bill|doc|file|session)[_-]?(?:no|num|number|id|name)(?:\.\w+)?(?:[/?#]|$)", r"/todo(?:[/?#]|$)|/tbd(?:[/?#]|$)", r"/%[sd](?:[/.?]|$)", r"\[insert\b|insert[-_ ]link[-_ ]here",
 ]
+# registered top-level types; what stands before the stroke otherwise is no type
+TOP_TYPES = "application audio chemical font haptics image message model multipart text video".split()
 MEDIA = [
     r"^(?:null|none|undefined|nan|n/a|#n/a|tbd|todo|unknown type)$", r"^%[sd]$", r"\blorem\b|\bipsum\b", r"\berror\b", r"^\d{3}\b|\bnot found\b", r"\btbd\b|\btodo\b", r"enable javascript|javascript (?:is )?required",
-    r"\byour_", r"^media/type\b",
+    r"\byour_", rf"^(?!(?:{'|'.join(TOP_TYPES)}|x-[\w.+-]+)/)[a-z]+/",
 ]
 # every pattern above needs one of these, which are looked for first (text is in lower case)
 MARKS = ["{", "%", "<", "@@", "__", "[", "your_", "insert_"]
-HINTS = ["lorem", "dolor sit", " here", "sample text", "replace", "xxx", "section x", "placeholder", "bad request", "unauthori", "forbidden", "not found",
+HINTS = ["lorem", "dolor sit", " here", "sample text", "dummy text", "xxxx", "placeholder", "bad request", "unauthori", "forbidden", "not found",
          "server error", "bad gateway", "unavailable", "timeout", "time-out", "resource you are", "be found", "not available", "access denied", "reference #",
          "timed out", "expired", "temporarily unable", "too many requests", "unexpected error", "runtime error", "try again", "javascript", "java script",
          "cookies", "scripts", "scripting", "robot", "your browser", "human"]
@@ -90,14 +92,15 @@ def evidence_in_media_type(media: Column) -> Column:
 
 def visible(text: Column) -> Column:
     """Text without markup tags; what only looks like a tag but is a placeholder stays."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</\1>", " "),
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</\1>", " "),
                             r"(?i)</?(?:html|head|body|div|span|p|br|b|i|u|em|strong|table|tr|td|th|ul|ol|li|h[1-6]|a|img|meta|link|noscript|strike|ins|del|sup|sub|section|article|center|font|hr|pre|title(?=>[^<>]*</title>)|/title|title(?=>$))\b[^<>]*>", "\n")
+    return F.when(text.contains("<"), bare).otherwise(text)
 
 
-def normalised_lines(text: Column) -> Column:
-    """Lines of visible text: lower case, white space collapsed, blanks left out."""
-    line = lambda x: F.trim(F.regexp_replace(F.lower(x), r"(?U)\s+", " "))
-    return F.filter(F.transform(F.split(visible(text), r"\r\n|\r|\n"), line), lambda x: x != "")
+def normalised(text: Column) -> Column:
+    """Visible text in lower case, white space collapsed, lines trimmed, no blank lines."""
+    blanks = F.regexp_replace(F.lower(visible(text)), r"(?U)[\s&&[^\r\n]]+", " ")
+    return F.trim(F.regexp_replace(blanks, r" ?[\r\n][ \r\n]*", "\n"), F.lit(" \n"))
 
 
 def _masked(line: Column) -> Column:
@@ -105,15 +108,19 @@ def _masked(line: Column) -> Column:
     return F.regexp_replace(line, r"\d+", "0")
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, r"[^\p{L}]+"), lambda w: F.length(w) > 1)
+
+
 def evidence_in_line(line: Column) -> Column:
     """Kind of evidence in one line, or null."""
     return (F.when(_placeholder(line), "placeholder").when(_suspicious(line, FILLER), "filler").when(_suspicious(line, ERRORS), "error").when(_suspicious(line, SCRIPTS), "scripts"))
 
 
-def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share: float = 0.002, z: float = 1.96, content_words: int = 25) -> DataFrame:
+def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share: float = 0.002, z: float = 1.96, content_words: int = 25, hosts: int = 3, unlike: float = 0.1) -> DataFrame:
     """(``key``, ``field``, ``kind``) of every field that holds residue instead of content.
 
-    ``kind``: ``placeholder``, ``filler``, ``error`` or ``scripts``. Null and blank fields hold nothing. A text
+    ``kind``: ``placeholder``, ``filler``, ``error``, ``scripts`` or ``notice``. Null and blank fields hold nothing. A text
     is residue if, without boilerplate, it holds an unfilled placeholder, or a line or sentence of it is
     filler, an error message or a scripts-required notice and fewer than ``content_words`` words are left beside
     such sentences: longer texts merely mention them. Rows with a null key are reported under it, repeated rows
@@ -124,31 +131,65 @@ def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share
     and versions of one document share their longest lines and count once. A line without evidence is boilerplate
     (a heading, a menu) and subtracted if it recurs beside different evidence lines of its host, however few, or beside
     different longest other lines, as many that their share of the host's different texts is at least ``share`` by the
-    lower bound of its Wilson interval (``z`` deviations). Two passes over the records; lines are counted as hashes, texts
-    are not shuffled unless the boilerplate of all hosts together is more than ``BROADCAST_BYTES``.
+    lower bound of its Wilson interval (``z`` deviations). Lines are counted as hashes, texts are not shuffled unless
+    the boilerplate of all hosts together is more than ``BROADCAST_BYTES``.
+
+    Evidence is of two kinds: patterns of how templates, servers and browsers write, and notices learnt from the texts
+    themselves (``recurrent_notices``): short texts that say the same on at least ``hosts`` hosts in words that content
+    doesn't use.
     """
     host = F.regexp_extract(F.coalesce(F.lower(F.col(url)), F.lit("")), r"^\s*[a-z]+://([^/?#\s]+)", 1)
-    rows = df.select(F.col(key).alias("k"), host.alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), normalised_lines(F.col(text)).alias("lines"))
-    boiler = cut(_boilerplate(rows.filter(F.size("lines") > 0).select("h", "lines"), share, z))
+    # read four times, normalised once
+    rows = cut(df.select(F.col(key).alias("k"), host.alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), normalised(F.col(text)).alias("t")))
+    boiler = cut(_boilerplate(rows.filter("t <> ''").select("h", "t"), share, z))
     size = boiler.agg(F.sum(F.size("boiler") * F.lit(8).cast("long"))).first()[0] or 0
     joined = rows.join(F.broadcast(boiler) if size <= BROADCAST_BYTES else boiler, "h", "left")
-    no_lines = F.array().cast("array<bigint>")
-    framing = lambda x: F.array_contains(F.coalesce("boiler", no_lines), F.xxhash64(_masked(x))) & evidence_in_line(x).isNull()
-    residual = F.array_join(F.filter("lines", lambda x: ~framing(x)), "\n")
-    judged = joined.withColumn("residual", residual).select("k", F.explode(F.array(
+    framing = lambda x: F.array_contains("boiler", F.xxhash64(_masked(x))) & evidence_in_line(x).isNull()
+    # only texts that hold evidence as they are can be residue: the others aren't looked into
+    held = _placeholder(F.col("t")) | _suspicious(F.col("t"), [*FILLER, *ERRORS, *SCRIPTS])
+    residual = F.when(F.col("boiler").isNotNull() & F.col("t").contains("\n"), F.array_join(F.filter(F.split("t", "\n"), lambda x: ~framing(x)), "\n")).otherwise(F.col("t"))
+    judged = joined.withColumn("residual", F.when(held, residual)).select("k", F.explode(F.array(
         F.struct(F.lit(url).alias("field"), evidence_in_url(F.col("u")).alias("kind")),
         F.struct(F.lit(media).alias("field"), evidence_in_media_type(F.col("m")).alias("kind")),
-        F.struct(F.lit(text).alias("field"), evidence_in_residual(F.col("residual"), content_words).alias("kind")))).alias("f")).select("k", "f.*").filter("kind is not null")
-    return judged.distinct().select(F.col("k").alias(key), "field", "kind")
+        F.struct(F.lit(text).alias("field"), F.when(F.col("residual").isNotNull(), evidence_in_residual(F.col("residual"), content_words)).alias("kind")))).alias("f")).select("k", "f.*").filter("kind is not null")
+    learnt = recurrent_notices(rows.select("k", "h", "t"), content_words, hosts, unlike).select("k", F.lit(text).alias("field"), F.lit("notice").alias("kind"))
+    both = judged.unionByName(learnt).groupBy("k", "field").agg(F.min_by("kind", F.when(F.col("kind") == "notice", 1).otherwise(0)).alias("kind"))
+    return both.select(F.col("k").alias(key), "field", "kind")
+
+
+def notice_scores(texts: DataFrame, content_words: int, hosts: int) -> DataFrame:
+    """(line, hosts, score) of lines of short texts that recur on several hosts: how unlike content their words are.
+
+    A line's score is the mean, over its words, of the log ratio of the share of such lines that hold the word and the share
+    of longer texts that do. Lines count once a host, words once a line or text: what is copied often weighs no more.
+    """
+    words = F.array_distinct(_words(_masked(F.col("t"))))
+    short = texts.filter("n < %d and n > 0" % content_words).select("h", F.explode(F.array_distinct(F.split(_masked(F.col("t")), "\n"))).alias("line")).distinct()
+    notices = cut(short.groupBy("line").agg(F.count("*").alias("hosts")).filter(F.col("hosts") >= hosts))
+    said = notices.select("line", F.explode(F.array_distinct(_words(F.col("line")))).alias("w"))
+    long = texts.filter("n >= %d" % content_words)
+    content = long.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n_content"))
+    totals = notices.agg(F.count("*").alias("all_notices")).crossJoin(long.agg(F.count("*").alias("all_content")))  # one row each
+    stats = (said.groupBy("w").agg(F.count("*").alias("n_notices")).join(content, "w", "left").crossJoin(F.broadcast(totals))
+             .select("w", (F.log((F.col("n_notices") + 0.5) / (F.col("all_notices") + 1)) - F.log((F.coalesce("n_content", F.lit(0)) + 0.5) / (F.col("all_content") + 1))).alias("ratio")))
+    return said.join(stats, "w").groupBy("line").agg(F.avg("ratio").alias("score")).join(notices, "line")
+
+
+def recurrent_notices(texts: DataFrame, content_words: int, hosts: int, unlike: float) -> DataFrame:
+    """(k) of short texts at least half of whose words stand in lines learnt to be notices."""
+    counted = texts.filter("t <> ''").withColumn("n", F.size(_words(F.col("t"))))
+    learnt = notice_scores(counted, content_words, hosts).filter(F.col("score") >= unlike).select("line")
+    short = counted.filter("n < %d and n > 0" % content_words).select("k", "n", F.explode(F.split(_masked(F.col("t")), "\n")).alias("line"))
+    return short.join(learnt, "line").groupBy("k", "n").agg(F.sum(F.size(_words(F.col("line")))).alias("said")).filter("said * 2 >= n").select("k").distinct()
 
 
 def _boilerplate(texts: DataFrame, share: float, z: float) -> DataFrame:
-    """(``h``, ``boiler``): hashes of the lines that recur in different surroundings of texts (``h``, ``lines``)."""
-    whole = F.array_join("lines", "\n")
+    """(``h``, ``boiler``): hashes of the lines that recur in different surroundings of texts (``h``, ``t``)."""
     # evidence is looked for line by line only where the text as a whole holds some
-    first = F.when((F.size("lines") > 1) & (_placeholder(whole) | _suspicious(whole, [*FILLER, *ERRORS, *SCRIPTS])),
-                   F.try_element_at(F.filter("lines", lambda x: evidence_in_line(x).isNotNull()), F.lit(1)))
-    masked = F.array_distinct(F.transform("lines", _masked))
+    lines = F.split("t", "\n")
+    first = F.when(F.col("t").contains("\n") & (_placeholder(F.col("t")) | _suspicious(F.col("t"), [*FILLER, *ERRORS, *SCRIPTS])),
+                   F.try_element_at(F.filter(lines, lambda x: evidence_in_line(x).isNotNull()), F.lit(1)))
+    masked = F.array_distinct(F.split(_masked(F.col("t")), "\n"))
     longest = F.slice(F.array_sort(F.transform("lines_", lambda x: F.struct((-F.length(x)).alias("o"), F.xxhash64(x).alias("x")))), 1, 2)
     marked = texts.select("h", masked.alias("lines_"), _masked(first).alias("first")).select("h", "lines_", F.xxhash64("first").alias("e"), F.col("first").isNotNull().alias("has"), longest.alias("top"))
     nothing = F.lit(0).cast("long")

@@ -22,8 +22,8 @@ BAD_URLS = ["https://a.example/{{ session }}/1.pdf", "javascript:void(0)", "http
             "https://a.example/bills/%7B%7Bbill%7D%7D.pdf", "https://a.example/<session>", "HTTPS://A.EXAMPLE/__DOC.URL__/X.PDF", "https://a.example/%s/%d.html"]
 GOOD_URLS = [GOOD, "https://a.example/doc/{5A7B4468-F5E3-4B34-ACE8-991A5EB71819}.pdf", "https://a.example/get?doc=%7B3A292BB7-6CA1-45C4-A11A-7DB6CCB28C94%7D", "https://a.example/undefined-terms-act/1.pdf", "https://a.example/2019/404/500.xml",
              "https://a.example/~error-correction/HB_2005__v2.pdf", "https://a.example/bills/SB%208061%20(Sub)%5B2%5D.htm", "https://a.example/null-and-void-contracts/2.pdf", None, ""]
-BAD_MEDIA = ["{{ media_type }}", "NULL", "text/html; error=404", "YOUR_TYPE_HERE", "#N/A", "application/<TYPE>", "[object Object];", " %s", "please enable javascript"]
-GOOD_MEDIA = ["text/html; charset=utf-8", "application/x-wais-source", "", None, "TEXT/HTML", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"]
+BAD_MEDIA = ["{{ media_type }}", "NULL", "text/html; error=404", "YOUR_TYPE_HERE", "#N/A", "application/<TYPE>", "[object Object];", " %s", "please enable javascript", "media/type"]
+GOOD_MEDIA = ["text/html; charset=utf-8", "application/x-wais-source", "x-world/x-vrml", "", None, "TEXT/HTML", "application/vnd.openxmlformats-officedocument.wordprocessingml.document"]
 
 
 def test_evidence_in_each_field(spark):
@@ -73,3 +73,13 @@ def test_versions_of_a_bill_are_no_boilerplate(spark):
     text = lambda i: f"{REAL}\n{REAL.replace('beekeeping', 'the levy')} It ends.\nVersion {i}\nPlease enable JavaScript to view this page."
     _, out = residue(spark, [(i, GOOD, "", text(i)) for i in range(25)])
     assert out.collect() == []
+
+
+def test_notices_are_learnt_from_recurrence_on_hosts(spark):
+    """No pattern knows this page; its words aren't those of content, and many hosts give it. A real sentence that recurs stays."""
+    page, real = "Our gnomes are polishing the whatsit. Kindly knock later.", "The county repeals the bill on raw milk."
+    content = [(i, f"https://h{i % 7}.example/{i}", "", f"{REAL} The county clerk repeals item {i} of the raw milk bill at noon, and the committee of the house agreed.") for i in range(60)]
+    rows = content + [(100 + i, f"https://h{i}.example/p", "", page.upper() if i % 2 else page) for i in range(4)] + [(200 + i, f"https://h{i}.example/r", "", real) for i in range(4)]
+    rows += [(300, "https://h1.example/q", "", "A lone page says: whatsit polishing gnomes.")]
+    _, out = residue(spark, rows)
+    assert {(r.id, r.kind) for r in out.collect()} == {(100 + i, "notice") for i in range(4)}
