@@ -135,11 +135,26 @@ class PrefixTable:
                 last[end] = t
 
     def edit(self, at: int, removed: int, inserted: bytes) -> None:
-        """Replace ``removed`` bytes at ``at``: prefixes up to ``at`` are kept, the rest is encoded again."""
-        rest = inserted + self.data[at + removed:]
+        """Replace ``removed`` bytes at ``at``: prefixes up to ``at`` are kept, those behind are encoded again until they agree.
+
+        An entry looks back no farther than the longest token: once that many entries in a row are what they were before,
+        all others stay as they are.
+        """
+        rest, old = self.data[at + removed:], self.last[at + removed:]
         self.data = self.data[:at]
         del self.last[at:]
-        self.append(rest)
+        self.append(inserted)
+        agreed = begin = 0
+        while begin < len(rest):
+            part = rest[begin:begin + self.v.longest]
+            self.append(part)
+            for i in range(begin, begin + len(part)):
+                agreed = agreed + 1 if self.last[at + len(inserted) + i] == old[i] else 0
+            begin += len(part)
+            if agreed >= self.v.longest:
+                break
+        self.data += rest[begin:]
+        self.last.extend(old[begin:])
 
     def ids(self) -> list[int]:
         out, at, tokens = [], len(self.data), self.v.tokens
@@ -189,6 +204,45 @@ class Encoder:
         return b"".join(self.v.tokens[i] for i in ids)
 
 
+class Document:
+    """A text held as chunks and their ids, so that it can be appended to and edited: only chunks near the change are encoded."""
+
+    def __init__(self, encoder: Encoder, text: str = ""):
+        self.encoder = encoder
+        self.chunks: list[str] = chunks(text)
+        self.parts: list[bytes] = [encoder.cache[c] for c in self.chunks]
+
+    def text(self) -> str:
+        return "".join(self.chunks)
+
+    def ids(self) -> list[int]:
+        return array("i", b"".join(self.parts)).tolist()
+
+    def append(self, more: str) -> None:
+        self.edit(sum(map(len, self.chunks)), 0, more)
+
+    def edit(self, at: int, removed: int, inserted: str) -> None:
+        """Replace ``removed`` characters at ``at``; chunks that touch the change, and one on each side, are cut anew."""
+        first = begin = 0
+        while first < len(self.chunks) and begin + len(self.chunks[first]) < at:
+            begin += len(self.chunks[first])
+            first += 1
+        if first:
+            first -= 1
+            begin -= len(self.chunks[first])
+        last, end = first, begin
+        while last < len(self.chunks) and end <= at + removed:
+            end += len(self.chunks[last])
+            last += 1
+        if last < len(self.chunks):
+            end += len(self.chunks[last])
+            last += 1
+        old = "".join(self.chunks[first:last])
+        fresh = chunks(old[:at - begin] + inserted + old[at - begin + removed:])
+        self.chunks[first:last] = fresh
+        self.parts[first:last] = [self.encoder.cache[c] for c in fresh]
+
+
 class _Cache(dict):
     """Chunk to ids; emptied when full, which costs time but changes nothing."""
 

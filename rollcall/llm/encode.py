@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rollcall.llm.bpe import Encoder, chunks, pretokens
 
@@ -205,6 +206,7 @@ def split_text(e: Encoder, text: str, limit: int = 512, overlap: int = 64, least
         return len(e.encode_bytes(text[place[i]:place[j]])) // 4  # a cut inside a run may change how it is pretokenized
 
     while True:
+        low = at + 1
         if cum[n] - cum[at] <= limit:
             end, strength = n, SECTION
         else:
@@ -218,9 +220,10 @@ def split_text(e: Encoder, text: str, limit: int = 512, overlap: int = 64, least
                     if near >= SENTENCE:
                         strength, end = near, earlier
         size = count(at, end)
-        while size > limit and end > at + 1:
-            end -= 1
-            size, strength = count(at, end), int(strengths[end])
+        while size > limit and end > at + 1:  # a cut inside a run came out longer: the strongest of those before it
+            top = end - 1
+            strength, end = table.best(max(at + 1, min(low, top)), top)
+            size = count(at, end)
         pieces.append(Piece(place[at], place[end], size, strength))
         if end == n:
             return pieces
@@ -244,7 +247,8 @@ def split_corpus(df: DataFrame, key: str, text: str, limit: int = 512, overlap:
     ``only_oversized`` is false (then they are one piece). Repeated rows are split each. No shuffle.
     """
     path = path or tokenizer_path()
-    schema = pa.schema([(key, pa.int64()), ("piece_no", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("n_tokens", pa.int32()), ("cut_at", pa.string()), ("piece", pa.string())])
+    kind = df.schema[key].dataType
+    schema = pa.schema([(key, to_arrow_type(kind)), ("piece_no", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("n_tokens", pa.int32()), ("cut_at", pa.string()), ("piece", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
@@ -266,8 +270,8 @@ def split_corpus(df: DataFrame, key: str, text: str, limit: int = 512, overlap:
             yield _batch(rows, schema)
 
     # a text has no more tokens than bytes, so short texts never reach Python
-    source = df.select(F.col(key).cast("long").alias(key), text).filter(F.octet_length(text) > (limit if only_oversized else 0))
-    return source.mapInArrow(run, f"`{key}` long, piece_no int, start int, end int, n_tokens int, cut_at string, piece string")
+    source = df.select(key, text).filter(F.octet_length(text) > (limit if only_oversized else 0))
+    return source.mapInArrow(run, f"`{key}` {kind.simpleString()}, piece_no int, start int, end int, n_tokens int, cut_at string, piece string")
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -11,14 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Distinct n-grams of test items in one broadcast block (24 bytes each and their words). More items make more blocks.
-BLOCK_GRAMS = 1_000_000
+BLOCK_GRAMS = 4_000_000
 _WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str) -> list[str]:
-    """Maximal runs of letters and digits, case folded."""
-    return _WORD.findall(text.casefold())
+    """Maximal runs of letters and digits as they are written, each case folded: folding may change letters, never the runs."""
+    if text.isascii():
+        return _WORD.findall(text.lower())
+    return [w.casefold() for w in _WORD.findall(text)]
 
 
 class GramIndex:
@@ -150,8 +152,6 @@ def _scan(batch: pa.RecordBatch, index: GramIndex, spans: bool) -> pa.RecordBatc
                 items.append(index.keys[i])
             continue
         places = [m.span() for m in _WORD.finditer(value)]
-        if len(places) != len(ws):  # folding changed the runs of letters: give the whole text
-            places = [(0, len(value))] * len(ws)
         for i in {i for _, i in hits}:
             runs: list[list[int]] = []
             for p in sorted(p for p, j in hits if j == i):

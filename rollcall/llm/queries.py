@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.llm.encode import encode_corpus, split_corpus
 from rollcall.llm.formatting import formatting_duplicates, json_fields
-from rollcall.llm.leakage import find_leaks
+from rollcall.llm.leakage import find_leaks, remove_leaks
 from rollcall.llm.names import attribute_names
 from rollcall.llm.residue import find_residue
 from rollcall.session import table
@@ -57,11 +57,19 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "eval_item"), "item_id", "text")
 
 
+def p9_removed(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of the documents that hold passages of tests, the passages cut out."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    leaks = find_leaks(documents, "doc_id", "text", table(spark, sf, "eval_item"), "item_id", "text", spans=True)
+    left = remove_leaks(documents.join(leaks.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id", "text", leaks, whole=False)
+    return left.select("doc_id", F.length("text").alias("n_chars"), F.md5(F.encode("text", "UTF-8")).alias("md5"))
+
+
 def p10_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return split_corpus(table(spark, sf, "documents"), "doc_id", "text", limit=512, overlap=64)
 
 
-QUERIES = {"p1_found": p1_found, "p1_posteriors": p1_posteriors, "p3_found": p3_found, "p3_copies": p3_copies, "p6_found": p6_found, "p6_residue": p6_residue, "p8_ids": p8_ids, "p9_found": p9_found, "p10_pieces": p10_pieces}
+QUERIES = {"p1_found": p1_found, "p1_posteriors": p1_posteriors, "p3_found": p3_found, "p3_copies": p3_copies, "p6_found": p6_found, "p6_residue": p6_residue, "p8_ids": p8_ids, "p9_found": p9_found, "p9_removed": p9_removed, "p10_pieces": p10_pieces}
 
 _P3 = "WITH v AS (SELECT raw_id, jurisdiction_id AS j, " + ", ".join(
     f"coalesce(regexp_replace(lower(json_extract_string(record, '$.{f}')), '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '') AS f{i}" for i, f in enumerate(EVENT_FIELDS)
@@ -71,8 +79,8 @@ _P3 = "WITH v AS (SELECT raw_id, jurisdiction_id AS j, " + ", ".join(
 SQL = {
     "p3_found": _P3 + "SELECT first_id, raw_id FROM s WHERE raw_id <> first_id",
     "p3_copies": _P3 + "SELECT first_id, copies FROM s WHERE raw_id = first_id",
-    "p9_found": r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
- e AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_item),
+    "p9_found": r"""WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM documents),
+ e AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS w FROM eval_item),
  dg AS (SELECT doc_id, array_to_string(w[i:i+14], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 13)) AS i FROM d WHERE len(w) >= 15)),
  eg AS (SELECT DISTINCT item_id, array_to_string(w[i:i+14], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 13)) AS i FROM e WHERE len(w) >= 15))
 SELECT DISTINCT doc_id, item_id FROM dg JOIN eg USING (g)""",

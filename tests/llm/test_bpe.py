@@ -110,3 +110,38 @@ def test_split_corpus(spark):
     every = split_corpus(df, "doc_id", "text", only_oversized=False).collect()
     assert {r.doc_id for r in every} == {1, 4}
     assert split_corpus(df.filter("false"), "doc_id", "text").collect() == []
+
+
+def test_documents_are_appended_to_and_edited(e):
+    from rollcall.llm.bpe import Document
+
+    rng = random.Random(5)
+    piece = lambda: "".join(rng.choice(["word", " ", "\n\n", "it's", "é", " 12", "a" * 50, "\t ", "x"]) for _ in range(rng.randint(0, 8)))
+    for _ in range(150):
+        d, text = Document(e), ""
+        for _ in range(6):
+            if rng.random() < 0.5:
+                more = piece()
+                d.append(more)
+                text += more
+            else:
+                at = rng.randint(0, len(text))
+                cut, new = rng.randint(0, len(text) - at), piece()
+                d.edit(at, cut, new)
+                text = text[:at] + new + text[at + cut:]
+            assert d.text() == text and d.ids() == e.encode(text)
+
+
+def test_long_pretoken_edits_stop_where_the_tables_agree(e):
+    data = b"abcdefghij" * 3000
+    t = PrefixTable(e.v, data)
+    seen = []
+    plain = t.append
+    t.append = lambda more: (seen.append(len(more)), plain(more))
+    t.edit(5, 3, b"zz")
+    assert t.ids() == PrefixTable(e.v, data[:5] + b"zz" + data[8:]).ids() and sum(seen) < 3000
+
+
+def test_pieces_keep_the_kind_of_key(spark):
+    df = spark.createDataFrame([("doc-a", "A sentence here. " * 400)], "k string, text string")
+    assert {r.k for r in split_corpus(df, "k", "text").collect()} == {"doc-a"}

@@ -43,3 +43,10 @@ def test_spans_and_removal(spark):
 def test_nothing_to_find(spark):
     assert found(spark, [(1, "a " * 40)], []).collect() == []
     assert found(spark, [], [(1, "a " * 40)]).collect() == []
+
+
+def test_folding_changes_no_runs(spark):
+    assert words("İstanbul COUNCIL Straße") == ["i̇stanbul", "council", "strasse"]
+    passage = "İstanbul " + " ".join(f"w{i}" for i in range(20))
+    spans = found(spark, [(1, f"so: {passage.upper()}; end")], [(7, passage)], spans=True)
+    assert [(r.begin, r.end) for r in spans.collect()] == [(4, 4 + len(passage))]
