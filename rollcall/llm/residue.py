@@ -42,8 +42,13 @@ SCRIPTS = [
 URLS = [
     r"^javascript:", r"^(?:about|data):", r"/(?:undefined|null|nan|none)(?:[/?#.]|$)", r"[?&=](?:nan|null|undefined|none)(?:[?&#]|$)", r"//(?:www\.)?example\.(?:com|org|net)(?:[:/]|$)", r"\blorem[-_]?ipsum\b",
     r"/errors?/(?:\d{3}|not-?found|[\w-]+\.aspx)\b", r"aspxerrorpath=", r"/(?:session-expired|sessiontimeout|not-?found|access-?denied|page-not-found)(?:\.\w+)?(?:[/?#]|$)",
-    r"/(?:enable-javascript|enable-cookies|noscript|javascript-required)(?:[/?#]|$)", r"/(?:yyyy|mm|dd)/", r"/(?:bill|doc|file|session)[_-]?(?:no|num|number|id|name)(?:\.\w+)?(?:[/?#]|$)", r"/todo(?:[/?#]|$)|/tbd(?:[/?#]|$)", r"/%[sd](?:[/.?]|$)", r"\[insert\b|insert[-_ ]link[-_ ]here",
+    r"/(?:enable-javascript|enable-cookies|noscript|javascript-required)(?:[/?#]|$)", r"/(?:yyyy|mm|dd)/", r"/todo(?:[/?#]|$)|/tbd(?:[/?#]|$)", r"/%[sd](?:[/.?]|$)", r"\[insert\b|insert[-_ ]link[-_ ]here",
 ]
+# names of fields in the place of their values
+FIELD_NAMES = r"/(?:bill|doc|file|session)[_-]?(?:no|num|number|id|name)(?:\.\w+)?(?:[/?#]|$)"
+# every pattern of URLS needs one of these
+URL_HINTS = ["javascript", "about:", "data:", "undefined", "null", "nan", "none", "example.", "ipsum", "error", "expired", "timeout", "not-found", "notfound", "denied", "access", "page-", "enable-", "noscript",
+             "/yyyy/", "/mm/", "/dd/", "/todo", "/tbd", "/%s", "/%d", "insert"]
 # registered top-level types; what stands before the stroke otherwise is no type
 TOP_TYPES = "application audio chemical font haptics image message model multipart text video".split()
 MEDIA = [
@@ -77,9 +82,10 @@ def _suspicious(text: Column, patterns: list[str]) -> Column:
 
 def evidence_in_url(url: Column) -> Column:
     """Kind of evidence in an address, or null. Braced identifiers of 30 and more characters are real names."""
-    bare = F.regexp_replace(F.lower(url), r"(?i)(?:\{|%7b)[0-9a-f]{8}-[0-9a-f-]{20,36}(?:\}|%7d)", "")
+    low = F.lower(url)
+    bare = F.when(_holds(low, ["{", "%7b"]), F.regexp_replace(low, r"(?:\{|%7b)[0-9a-f]{8}-[0-9a-f-]{20,36}(?:\}|%7d)", "")).otherwise(low)
     return (F.when(bare.isNull() | (F.trim(bare) == ""), F.lit(None).cast("string"))
-            .when(_placeholder(bare) | _any(bare, [r"/\[[a-z_.]+\](?:[/?.]|$)", r"/<[a-z_.]+>(?:[/?.]|$)"]), "placeholder").when(_any(bare, URLS), "error"))
+            .when(_placeholder(bare) | _any(bare, [r"/\[[a-z_.]+\](?:[/?.]|$)", r"/<[a-z_.]+>(?:[/?.]|$)"]), "placeholder").when((_holds(bare, URL_HINTS) & _any(bare, URLS)) | bare.rlike(FIELD_NAMES), "error"))
 
 
 def evidence_in_media_type(media: Column) -> Column:
