@@ -7,19 +7,25 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from rollcall.sources.parquet_pages import dictionary
+
 #: Row groups are spread over at most so many tasks.
 MAX_TASKS = 20_000
-_COUNTS = "grp long, column_name string, value string, n long, decoded boolean"
+_COUNTS = "grp long, column_name string, value string, n long, rows long, source string"
+
 
+def value_counts(spark: SparkSession, path: str, group: str, columns: list[str] | None = None, counted: list[str] | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
+    """The values of each column (None: all of the schema) in each group: (grp, column_name, value, n, rows, source), a part a chunk.
 
-def value_counts(spark: SparkSession, path: str, group: str, columns: list[str] | None = None) -> DataFrame:
-    """How often each value of each column (None: all of the schema) occurs in each group: (grp, column_name, value, n, decoded).
+    ``n`` is how often a value occurs in the chunk, null where only the chunk's distinct values are known; the row of the null
+    value (always there) has the chunk's ``rows`` and its exact nulls. ``source`` is where that comes from: ``footer``, ``dictionary`` or ``data``.
 
-    Footers are read first, one task a file. A row group is pure if its statistics give one value of
-    ``group`` and no null; then its null counts, and the value of chunks with equal extrema, come from the
-    footer (``decoded`` false). Only other chunks are decoded, dictionary first where the chunk has one.
-    Rows with a null group are a group of their own. Values are given as text, maps, structs and arrays as JSON with
-    sorted keys, a null value as null.
+    Footers are read first, one task a file. A row group is pure if its statistics give one value of ``group`` and no
+    null; then its nulls, and the value of chunks with equal extrema, come from the footer. Of the others, the dictionary
+    tells the distinct values of numbers and texts if all data pages use it: enough for columns that aren't ``counted`` (None: all
+    are), unless one of its values violates the column's pattern, whose rows must be counted. Only what is left is
+    decoded. Rows with a null group are a group of their own. Values are given as text, maps, structs and arrays as JSON with
+    sorted keys.
     """
     columns = spark.read.parquet(path).columns if columns is None else columns
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
@@ -37,7 +43,7 @@ def value_counts(spark: SparkSession, path: str, group: str, columns: list[str]
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield from _chunk_counts(p, i, group, columns)
+                yield from _chunk_counts(p, i, group, columns, counted, patterns or {})
 
     units = files.mapInArrow(footers, "path string, row_group int")
     # the units are a few bytes each but stand for whole row groups: a fixed number of tasks, not one by their size
@@ -59,49 +65,70 @@ def _opened(path: str):
     return system.open_input_file(inner)
 
 
-def _chunk_counts(path: str, row_group: int, group: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
+def _chunk_counts(path: str, row_group: int, group: str, columns: list[str], counted: list[str] | None, patterns: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    import re
+
     import pyarrow.compute as pc
     import pyarrow.parquet as pq
 
-    def out(g, column, values, n, decoded):
+    def out(g, column, values, n, rows, source):
         m = len(values)
         return pa.record_batch({"grp": pa.array(g if isinstance(g, list) else [g] * m, pa.int64()), "column_name": pa.array([column] * m, pa.string()),
-                                "value": pa.array(values, pa.string()), "n": pa.array(n, pa.int64()), "decoded": pa.array([decoded] * m)})
+                                "value": pa.array(values, pa.string()), "n": pa.array(n, pa.int64()), "rows": pa.array(rows, pa.int64()), "source": pa.array([source] * m, pa.string())})
+
+    def whole(g, column, found, rows, source):
+        """Values with their counts (null: not known), the null value first."""
+        nulls = found.pop(None, 0) or 0
+        return out(g, column, [None, *found], [nulls, *found.values()], [rows] + [None] * len(found), source)
 
     with _opened(path) as f:
-        names = set(pq.ParquetFile(f).schema_arrow.names)
-        text = [c for c in columns if c in names and pa.types.is_string(pq.ParquetFile(f).schema_arrow.field(c).type)]
-        file = pq.ParquetFile(f, read_dictionary=text)  # dictionaries stay dictionaries, indices are counted
+        file = pq.ParquetFile(f)
+        kinds = {x.name: x.type for x in file.schema_arrow}
+        text = [c for c in columns if c in kinds and pa.types.is_string(kinds[c])]
         meta = file.metadata.row_group(row_group)
-        if not meta.num_rows:
+        rows = meta.num_rows
+        if not rows:
             return
-        stats = {meta.column(j).path_in_schema: meta.column(j).statistics for j in range(meta.num_columns)}
-        g = stats.get(group)
+        chunks = {meta.column(j).path_in_schema: meta.column(j) for j in range(meta.num_columns)}
+        g = chunks[group].statistics if group in chunks else None
         pure = g is not None and g.has_min_max and g.has_null_count and g.null_count == 0 and g.min == g.max
+        reader = None
         for column in columns:
-            s = stats.get(column)
+            c = chunks.get(column)
+            s = c.statistics if c is not None else None
             if pure and s is not None and s.has_null_count:
-                if s.null_count == meta.num_rows:
-                    yield out(g.min, column, [None], [meta.num_rows], False)
+                if s.null_count == rows:
+                    yield whole(g.min, column, {None: rows}, rows, "footer")
                     continue
                 # extrema of text may be cut short in footers, those of whole numbers are exact
                 if s.has_min_max and s.min == s.max and isinstance(s.min, int) and not isinstance(s.min, bool):
-                    kept = [(str(s.min), meta.num_rows - s.null_count)] + [(None, s.null_count)] * (s.null_count > 0)
-                    yield out(g.min, column, [v for v, _ in kept], [n for _, n in kept], False)
+                    yield whole(g.min, column, {None: s.null_count, str(s.min): rows - s.null_count}, rows, "footer")
                     continue
+                kind = kinds[column]
+                if counted is not None and column not in counted and (pa.types.is_integer(kind) or pa.types.is_string(kind)):
+                    values = dictionary(f, c, kind)
+                    pattern = patterns.get(column, "").replace(r"\z", r"\Z")
+                    if values is not None and all(re.search(pattern, v) for v in values if isinstance(v, str)):
+                        yield whole(g.min, column, {None: s.null_count} | {str(v): None for v in values}, rows, "dictionary")
+                        continue
+            reader = reader or pq.ParquetFile(f, read_dictionary=text, metadata=file.metadata)  # dictionaries stay dictionaries, indices are counted
             if pure:
-                data = _flat(file.read_row_group(row_group, columns=[column]).column(0)).combine_chunks()
+                data = _flat(reader.read_row_group(row_group, columns=[column]).column(0)).combine_chunks()
                 found = pc.value_counts(data)
                 values = found.field("values")
                 if pa.types.is_dictionary(values.type):
                     values = values.dictionary_decode()
-                yield out(g.min, column, pc.cast(values, pa.string()).to_pylist(), found.field("counts").to_pylist(), True)
+                yield whole(g.min, column, dict(zip(pc.cast(values, pa.string()).to_pylist(), found.field("counts").to_pylist(), strict=True)), rows, "data")
             else:
-                table = file.read_row_group(row_group, columns=list(dict.fromkeys([group, column])))
+                table = reader.read_row_group(row_group, columns=list(dict.fromkeys([group, column])))
                 c = _flat(table.column(column))
                 c = pc.cast(c.cast(c.type.value_type) if pa.types.is_dictionary(c.type) else c, pa.string())
                 both = pa.table({"g": table.column(group), "v": c}).group_by(["g", "v"]).aggregate([([], "count_all")])
-                yield out(both.column("g").to_pylist(), column, both.column("v").to_pylist(), both.column("count_all").to_pylist(), True)
+                by: dict = {}
+                for x, v, n in zip(both.column("g").to_pylist(), both.column("v").to_pylist(), both.column("count_all").to_pylist(), strict=True):
+                    by.setdefault(x, {})[v] = n
+                for x, found in by.items():
+                    yield whole(x, column, found, sum(found.values()), "data")
 
 
 def _flat(data: pa.ChunkedArray) -> pa.ChunkedArray:
@@ -137,10 +164,11 @@ def profile(counts: DataFrame, numeric: list[str], valid_range: tuple[int, int],
     ``rows``, ``nulls``, ``n_distinct`` (non-null), ``low``/``high`` (columns of whole numbers: ``numeric`` and ``whole``),
     ``low_text``/``high_text`` (all columns: those by value, others by code point), ``n_in``/``sum_in`` over the values of
     ``numeric`` in ``valid_range``, ``n_out`` (numeric values outside it), ``n_bad`` (values that don't match the
-    column's pattern; nulls match).
+    column's pattern; nulls match), ``chunks`` and how many of them were ``scanned`` beyond footer and dictionary.
+    ``counts`` must have been taken with ``numeric`` among the counted columns and with ``patterns``.
     """
     low, high = valid_range
-    per_value = counts.groupBy("grp", "column_name", "value").agg(F.sum("n").alias("n"))
+    per_value = counts.groupBy("grp", "column_name", "value").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.count("rows").alias("chunks"), F.count_if(F.col("rows").isNotNull() & (F.col("source") == "data")).alias("scanned"))
     number = F.when(F.col("column_name").isin(numeric), F.col("value").try_cast("long"))
     ordered = F.when(F.col("column_name").isin([*numeric, *(whole or [])]), F.col("value").try_cast("long"))
     ranked = F.when(F.col("value").isNotNull(), F.struct(ordered.alias("o"), F.col("value")))
@@ -149,7 +177,7 @@ def profile(counts: DataFrame, numeric: list[str], valid_range: tuple[int, int],
     for column, pattern in (patterns or {}).items():
         bad = bad | ((F.col("column_name") == column) & ~F.col("value").rlike(pattern))
     return per_value.groupBy("grp", "column_name").agg(
-        F.sum("n").alias("rows"),
+        F.sum("rows").alias("rows"), F.sum("chunks").alias("chunks"), F.sum("scanned").alias("scanned"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
         F.count("value").alias("n_distinct"), F.min(ordered).alias("low"), F.max(ordered).alias("high"),
         F.min(ranked)["value"].alias("low_text"), F.max(ranked)["value"].alias("high_text"),

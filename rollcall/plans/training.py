@@ -83,7 +83,7 @@ def p7_profile(spark: SparkSession, sf: str, columns: list[str] | None = None) -
     """Profile of all columns of the table, or of ``columns``: a column's rows don't depend on the others."""
     path = f"{sf}/session_quality_report.parquet"
     whole = [c for c, kind in spark.read.parquet(path).dtypes if kind in ("tinyint", "smallint", "int", "bigint")]
-    profiled = profile(value_counts(spark, path, "load_no", columns), COUNTERS, (0, 100_000), PATTERNS, whole)
+    profiled = profile(value_counts(spark, path, "load_no", columns, COUNTERS, PATTERNS), COUNTERS, (0, 100_000), PATTERNS, whole)
     return with_changes(profiled).withColumnRenamed("grp", "load_no")
 
 
@@ -124,10 +124,10 @@ _P4_PATHS = """WITH RECURSIVE d AS (SELECT id, min(redirect) AS redirect FROM di
  walk AS (SELECT id, id AS cur, [id] AS seen FROM links
    UNION ALL SELECT w.id, l.parent, list_append(w.seen, l.parent) FROM walk w JOIN links l ON l.id = w.cur WHERE l.parent IS NOT NULL AND NOT list_contains(w.seen, l.parent)),
  whole AS (SELECT id, arg_max(seen, len(seen)) AS seen FROM walk GROUP BY id),
- closed AS (SELECT w.id, w.seen, list_position(w.seen, l.parent) AS at FROM whole w JOIN links l ON l.id = w.seen[-1]),
+ closed AS (SELECT w.id, w.seen, list_position(w.seen, l.parent) AS pos FROM whole w JOIN links l ON l.id = w.seen[-1]),
  sizes AS (SELECT cur AS id, count(*) AS subtree FROM walk GROUP BY 1)
-SELECT id, CASE WHEN at > 0 THEN list_min(seen[at:]) ELSE seen[-1] END AS root_id, CAST(CASE WHEN at > 0 THEN at - 1 ELSE len(seen) - 1 END AS INTEGER) AS depth,
- CASE WHEN at IS NULL OR at = 0 THEN 'tree' WHEN at = 1 THEN 'cycle' ELSE 'into_cycle' END AS kind, array_to_string(list_reverse(CASE WHEN at > 0 THEN seen[1:at] ELSE seen END), ' > ') AS path, subtree FROM closed JOIN sizes USING (id)"""
+SELECT id, CASE WHEN pos > 0 THEN list_min(seen[pos:]) ELSE seen[-1] END AS root_id, CAST(CASE WHEN pos > 0 THEN pos - 1 ELSE len(seen) - 1 END AS INTEGER) AS depth,
+ CASE WHEN pos IS NULL OR pos = 0 THEN 'tree' WHEN pos = 1 THEN 'cycle' ELSE 'into_cycle' END AS kind, array_to_string(list_reverse(CASE WHEN pos > 0 THEN seen[1:pos] ELSE seen END), ' > ') AS path, subtree FROM closed JOIN sizes USING (id)"""
 
 
 _P4_DESCENDANTS = """WITH RECURSIVE d AS (SELECT id, min(redirect) AS redirect FROM division WHERE id IS NOT NULL GROUP BY id),

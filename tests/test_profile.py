@@ -33,8 +33,20 @@ def test_profile_values_and_footer_use(spark, tmp_path):
     p = {(r.grp, r.column_name): r for r in profile(counts, ["n"], (0, 100_000), PATTERN).collect()}
     assert (p[1, "n"].rows, p[1, "n"].nulls, p[1, "n"].n_distinct, p[1, "n"].low, p[1, "n"].high, p[1, "n"].sum_in) == (4, 0, 4, 1, 4, 10)
     assert (p[2, "j"].nulls, p[2, "j"].n_bad) == (1, 1)
-    decoded = {(r.grp, r.column_name): r.decoded for r in counts.collect()}
-    assert decoded[4, "n"] is False and decoded[5, "j"] is False and decoded[1, "n"] is True
+    source = {(r.grp, r.column_name): r.source for r in counts.collect()}
+    assert source[4, "n"] == "footer" and source[5, "j"] == "footer" and source[1, "n"] == "data"
+
+
+@pytest.mark.parametrize("codec,version", [("zstd", "1.0"), ("snappy", "2.0"), ("none", "1.0"), ("gzip", "2.0")])
+def test_dictionaries_are_enough_where_nothing_is_counted(spark, tmp_path, codec, version):
+    texts = [f"v{i % 50}é" for i in range(400)] + [None] * 100 + ["B1"] * 500
+    t = pa.table({"load": pa.array([1] * 500 + [2] * 500, pa.int32()), "j": pa.array(texts), "k": pa.array([i % 7 for i in range(1000)], pa.int64()), "u": pa.array([f"{i:06d}" * 20 for i in range(1000)])})
+    pq.write_table(t, tmp_path / "t.parquet", row_group_size=500, compression=codec, data_page_version=version, data_page_size=256, dictionary_pagesize_limit=8192, write_batch_size=64)
+    p = {(r.grp, r.column_name): r for r in profile(value_counts(spark, str(tmp_path / "t.parquet"), "load", None, [], {"j": r"^v\d+é\z"}), [], (0, 1), {"j": r"^v\d+é\z"}, ["k"]).collect()}
+    assert (p[1, "j"].rows, p[1, "j"].nulls, p[1, "j"].n_distinct, p[1, "j"].n_bad, p[1, "j"].scanned, p[1, "j"].chunks) == (500, 100, 50, 0, 0, 1)
+    assert (p[2, "j"].n_distinct, p[2, "j"].n_bad, p[2, "j"].scanned) == (1, 500, 1)  # a violation is counted
+    assert (p[1, "k"].n_distinct, p[1, "k"].low, p[1, "k"].high, p[1, "k"].scanned) == (7, 0, 6, 0)
+    assert (p[1, "u"].n_distinct, p[1, "u"].scanned) == (500, 1)  # the dictionary got too large
 
 
 def test_empty_file(spark, tmp_path):
