@@ -5,6 +5,8 @@ from __future__ import annotations
 import difflib
 import html
 import re
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -12,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions.ids import file_ending
-from rollcall.functions.text import clean_text, drop_nul
+from rollcall.functions.text import clean_text, drop_nul, keep_matching_lines
 
 _VOID = {"br", "hr", "img", "input", "meta", "link", "col", "area", "base", "wbr", "source", "embed"}
 _SKIP = {"script", "style", "head", "title"}
@@ -71,14 +73,16 @@ def pick_html(source: str, tag: str = "", cls: str = "", ident: str = "") -> lis
     return [re.sub(r"[ \t\r\f\v\xa0]*\n[\s]*", "\n", "".join(x)).strip() for x in parser.found]
 
 
-def html_text(c: Column, tag: str = "", cls: str = "", ident: str = "", single: bool = False) -> Column:
-    """Text of the fitting elements, one after the other; with ``single`` null unless exactly one fits."""
+def html_text(c: Column, tag: str = "", cls: str = "", ident: str = "", single: bool = False, places: tuple[int, ...] = ()) -> Column:
+    """Text of the fitting elements, one after the other; with ``single`` null unless exactly one fits, with ``places`` only those."""
     @F.pandas_udf("string")
     def run(pages: pd.Series) -> pd.Series:
         def one(x):
             if x is None:
                 return None
             found = pick_html(x, tag, cls, ident)
+            if places:
+                found = [found[i] for i in places if i < len(found)]
             return (found[0] if len(found) == 1 else None) if single else "\n".join(found)
         return pages.map(one)
     return run(c)
@@ -112,12 +116,63 @@ def xml_text(c: Column, without: tuple[str, ...] = ("metadata",)) -> Column:
     return run(c)
 
 
-def extract_text(df: DataFrame, content: str, media: str, out: str = "text") -> DataFrame:
-    """Bytes or text of mixed media to clean text; media without an extractor give null and ``is_error``."""
+@dataclass
+class Conversions:
+    """How the texts of a state's media are read: by (state, media type), else by the medium alone; some aren't read on purpose.
+
+    A converter is a function of the content's column and the title's. New states and media are added by ``add``.
+    """
+    special: dict[tuple[str, str], Callable[[Column, Column], Column]] = field(default_factory=dict)
+    skipped: set[tuple[str, str]] = field(default_factory=set)
+
+    def add(self, state: str, media: str, convert: Callable[[Column, Column], Column]) -> Conversions:
+        self.special[state, media] = convert
+        return self
+
+    def skip(self, state: str, media: str) -> Conversions:
+        self.skipped.add((state, media))
+        return self
+
+
+def standard_conversions() -> Conversions:
+    """States whose documents need more than their medium tells.
+
+    Virginia's pages are bare paragraphs. Delaware's concurrent resolutions (HCR) exist as numbered print only, all else of
+    it is read from pages, where the text stands in the second and third block.
+    """
+    resolution = lambda title: F.coalesce(title, F.lit("")).contains("HCR")
+    return (Conversions()
+            .add("va", "text/html", lambda c, _: html_text(c, tag="p"))
+            .add("de", "text/html", lambda c, title: F.when(~resolution(title), html_text(c, tag="div", places=(1, 2))))
+            .add("de", "application/pdf", lambda c, title: F.when(resolution(title), keep_matching_lines(c, r"^\s*\d+\s+(\S.*)$")).otherwise("")))
+
+
+def extract_text(df: DataFrame, content: str, media: str, out: str = "text", state: str | None = None, title: str | None = None, conversions: Conversions | None = None) -> DataFrame:
+    """Bytes or text of mixed media to clean text, with ``is_error`` and ``skipped`` (why there is none, or null).
+
+    ``conversions`` by ``state`` and medium come before the medium's own reader; media without a reader give null, a blank text is an error.
+    """
+    raw, kind = F.col(content).cast("string"), F.lower(F.trim(F.split(F.coalesce(media, F.lit("")), ";")[0]))
     ending = file_ending(F.col(media))
-    raw = F.col(content).cast("string")
     text = F.when(ending == "html", html_text(raw)).when(ending == "xml", xml_text(raw)).when(ending == "txt", raw)
-    return df.withColumn(out, drop_nul(clean_text(text))).withColumn("is_error", F.col(out).isNull())
+    skipped = F.when(~ending.isin("html", "xml", "txt"), "no extractor")
+    if conversions is not None and state is not None:
+        head = F.col(title) if title else F.lit(None).cast("string")
+        for (at, of), convert in conversions.special.items():
+            fits = (F.col(state) == at) & (kind == of)
+            text = F.when(fits, convert(raw, head)).otherwise(text)
+            skipped = F.when(~fits, skipped)
+        for at, of in sorted(conversions.skipped):
+            text = F.when((F.col(state) == at) & (kind == of), F.lit(None)).otherwise(text)
+            skipped = F.when((F.col(state) == at) & (kind == of), "do not download").otherwise(skipped)
+    made = df.withColumn(out, drop_nul(clean_text(text))).withColumn("skipped", skipped)
+    return made.withColumn("is_error", F.coalesce(F.trim(out), F.lit("")) == "")
+
+
+def read_again(df: DataFrame, content: str, media: str, stored: str, **how) -> DataFrame:
+    """Documents that had errors (``was_error``), read again: ``stored`` takes the text where there is one now; see ``reports.retried`` for the counts."""
+    again = extract_text(df.filter("was_error"), content, media, "__again", **how)
+    return again.withColumn(stored, F.when(F.col("is_error"), F.col(stored)).otherwise(F.col("__again"))).drop("__again")
 
 
 def unified_diff(prior: Column, text: Column, context: int = 3) -> Column:

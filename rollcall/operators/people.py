@@ -5,6 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.functions import validate as V
+from rollcall.functions.text import reformat_phone
 from rollcall.operators.intervals import is_active
 
 #: fixed values: parties of which a person has one at a time
@@ -110,6 +112,34 @@ def retire(roles: Column, date: str, reason: str | None = None) -> Column:
     return F.transform(roles, ended)
 
 
+def retire_people(df: DataFrame, date: str, reason: str | None = None, death: bool = False) -> DataFrame:
+    """People with their active roles ended, without offices, with the date of death if that is why; ``n_ended`` roles were ended."""
+    live = F.size(F.filter("roles", lambda r: is_active(r["start_date"], r["end_date"], date)))
+    out = df.withColumn("n_ended", live).withColumn("roles", retire(F.col("roles"), date, reason)).withColumn("offices", F.slice("offices", 1, 0))
+    return out.withColumn("death_date", F.lit(date)) if death else out
+
+
+def check_people(df: DataFrame, path: str, today: str) -> DataFrame:
+    """(id, errors, warnings, fixes) of people's records: what is wrong with each and, among all, ids given twice.
+
+    The record's file must be named after its id; somebody without an active role belongs among the retired; phones that
+    only need other dashes are fixes.
+    """
+    c = F.col
+    own = V.person_problems(c("name"), c("given_name"), c("family_name"), c("id"), F.coalesce("birth_date", F.lit("")), F.coalesce("death_date", F.lit("")), F.coalesce("email", F.lit("")))
+    bare = F.element_at(F.split("id", "/"), -1)
+    role = F.flatten(F.transform("roles", lambda r: V.role_problems(r["type"], r["district"], r["end_date"])))
+    active = F.exists("roles", lambda r: is_active(r["start_date"], r["end_date"], today))
+    retired = F.col(path).contains("/retired/")
+    warnings = F.filter(own, lambda m: m.startswith("missing "))
+    errors = F.concat(F.filter(own, lambda m: ~m.startswith("missing ")), role, V.problems(V.rule(F.col(path).contains(bare), "id isn't in the file's name"), V.rule(active | retired, "no active roles"), V.rule(~active | ~retired, "retired with active roles")),
+                      V.office_problems(c("offices")))
+    voices = F.filter(F.transform("offices", lambda o: o["voice"]), lambda v: F.coalesce(v, F.lit("")) != "")
+    fixes = F.transform(F.filter(voices, lambda v: reformat_phone(v) != v), lambda v: F.concat(F.lit("phone "), v, F.lit(" to "), reformat_phone(v)))
+    twice = df.groupBy("id").agg(F.count("*").alias("__n")).filter("__n > 1")
+    return df.select("id", errors.alias("errors"), warnings.alias("warnings"), fixes.alias("fixes")).join(twice, "id", "left").withColumn("errors", F.when(c("__n") > 1, F.concat("errors", F.array(F.lit("duplicate id")))).otherwise(c("errors"))).drop("__n")
+
+
 def primary_party(parties: Column, today: str) -> Column:
     """struct(party, error): the last active party, but a major one once seen stays; two majors are an error."""
     start = F.struct(F.lit("").alias("party"), F.lit(False).alias("error"))

@@ -343,3 +343,32 @@ def q44b_group_links(spark, sf):
 def q53_random_sample(spark, sf):
     """A sample that anyone can draw again: the first by a hash of the key."""
     return files.sample(table(spark, sf, "bill_version_document").select("version_doc_id"), "version_doc_id", 50, 7)
+
+
+@probe("""SELECT listing_id, trim(name, ' ') || chr(10) || 'second' AS text, false AS is_error, CAST(NULL AS VARCHAR) AS skipped FROM event_listing WHERE regexp_full_match(name, '[A-Za-z0-9 ,.:-]+') UNION ALL
+ SELECT listing_id, NULL, true, 'do not download' FROM event_listing WHERE name IS NULL OR NOT regexp_full_match(name, '[A-Za-z0-9 ,.:-]+')""")
+def q47d_conversions(spark, sf):
+    """A state's own converter for its pages, and media that aren't read on purpose."""
+    plain = F.coalesce(F.col("name").rlike(r"^[A-Za-z0-9 ,.:-]+\z"), F.lit(False))
+    e = table(spark, sf, "event_listing").select("listing_id", F.concat(F.lit("<p>"), "name", F.lit("</p><div>out</div><p>second</p>")).alias("page"), F.when(plain, "va").otherwise("zz").alias("state"), F.lit("text/html").alias("media"))
+    conversions = documents.standard_conversions().skip("zz", "text/html")
+    return documents.extract_text(e, "page", "media", "text", "state", None, conversions).select("listing_id", "text", "is_error", "skipped")
+
+
+@probe("""SELECT person_no, CAST(person_no % 2 AS INTEGER) AS n_ended, CASE WHEN person_no % 2 = 1 THEN '2020-01-01' ELSE '2000-01-01' END AS end_date, CAST(0 AS INTEGER) AS offices, '2020-01-01' AS death_date FROM person""")
+def q72b_retired(spark, sf):
+    p = table(spark, sf, "person").select("person_no", F.array(F.struct(F.col("chamber").alias("type"), F.col("district"), F.lit("").alias("start_date"), F.when(F.col("person_no") % 2 == 0, "2000-01-01").otherwise("").alias("end_date"), F.lit("").alias("end_reason"))).alias("roles"),
+                                            F.array(F.struct(F.lit("capitol").alias("classification"))).alias("offices"), "death_date")
+    return people.retire_people(p, "2020-01-01", "left", death=True).select("person_no", "n_ended", F.col("roles")[0]["end_date"].alias("end_date"), F.size("offices").alias("offices"), "death_date")
+
+
+@probe("""WITH p AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM person WHERE id IS NOT NULL) SELECT person_no, person_no % 2 = 0 AS inactive, n > 1 AS twice, coalesce(district, '') = '' AS no_district FROM p""")
+def q71b_checked_people(spark, sf):
+    """Findings of the record checks: no active role, the same id again, a role without a district."""
+    p = table(spark, sf, "person").filter("id is not null").select("person_no", "id", "name", "given_name", "family_name", "birth_date", "death_date", "email", F.lit("data/legislature/x.yml").alias("path"),
+                                                                     F.array(F.struct(F.lit("upper").alias("type"), F.col("district"), F.lit("").alias("start_date"), F.when(F.col("person_no") % 2 == 0, "2000-01-01").otherwise("").alias("end_date"))).alias("roles"),
+                                                                     F.array().cast("array<struct<classification:string,name:string,address:string,voice:string,fax:string>>").alias("offices"))
+    has = lambda m: F.array_contains("errors", m)
+    rows = people.check_people(p, "path", "2020-01-01")
+    flat = rows.select("id", has("no active roles").alias("inactive"), has("duplicate id").alias("twice"), has("role needs a district").alias("no_district"))
+    return p.select("person_no", "id").join(flat, "id").select("person_no", "inactive", "twice", "no_district")
