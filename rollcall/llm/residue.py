@@ -61,6 +61,9 @@ HINTS = ["lorem", "dolor sit", " here", "sample text", "dummy text", "xxxx", "pl
          "server error", "bad gateway", "unavailable", "timeout", "time-out", "resource you are", "be found", "not available", "access denied", "reference #",
          "timed out", "expired", "temporarily unable", "too many requests", "unexpected error", "runtime error", "try again", "javascript", "java script",
          "cookies", "scripts", "scripting", "robot", "your browser", "human"]
+# every pattern of FILLER, ERRORS and SCRIPTS needs one of these words
+HINT_WORDS = ("lorem dolor here sample placeholder dummy request requests unauthorized unauthorised forbidden found server gateway unavailable looking sorry denied reference timed expired unexpected "
+              "runtime later javascript script scripts scripting cookies browser robot human").split() + ["x" * n for n in range(4, 13)]
 # fixed values end
 
 
@@ -80,6 +83,11 @@ def _suspicious(text: Column, patterns: list[str]) -> Column:
     return _holds(text, HINTS) & _any(text, patterns)
 
 
+def _held(text: Column, hinted: Column) -> Column:
+    """Whether a whole text holds evidence; ``hinted``: one of HINT_WORDS is in it."""
+    return _placeholder(text) | (hinted & _any(text, [*FILLER, *ERRORS, *SCRIPTS]))
+
+
 def evidence_in_url(url: Column) -> Column:
     """Kind of evidence in an address, or null. Braced identifiers of 30 and more characters are real names."""
     low = F.lower(url)
@@ -146,19 +154,20 @@ def find_residue(df: DataFrame, key: str, url: str, media: str, text: str, share
     """
     host = F.regexp_extract(F.coalesce(F.lower(F.col(url)), F.lit("")), r"^\s*[a-z]+://([^/?#\s]+)", 1)
     # read four times, normalised once
-    rows = cut(df.select(F.col(key).alias("k"), host.alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), normalised(F.col(text)).alias("t")))
-    boiler = cut(_boilerplate(rows.filter("t <> ''").select("h", "t"), share, z))
+    read = df.select(F.col(key).alias("k"), host.alias("h"), F.col(url).alias("u"), F.col(media).alias("m"), normalised(F.col(text)).alias("t")).withColumn("w", _words(F.col("t")))
+    rows = cut(read.select("k", "h", "u", "m", "t", F.size("w").alias("n"), F.arrays_overlap("w", F.array(*[F.lit(w) for w in HINT_WORDS])).alias("hinted")))
+    boiler = cut(_boilerplate(rows.filter("t <> ''").select("h", "t", "hinted"), share, z))
     size = boiler.agg(F.sum(F.size("boiler") * F.lit(8).cast("long"))).first()[0] or 0
     joined = rows.join(F.broadcast(boiler) if size <= BROADCAST_BYTES else boiler, "h", "left")
     framing = lambda x: F.array_contains("boiler", F.xxhash64(_masked(x))) & evidence_in_line(x).isNull()
     # only texts that hold evidence as they are can be residue: the others aren't looked into
-    held = _placeholder(F.col("t")) | _suspicious(F.col("t"), [*FILLER, *ERRORS, *SCRIPTS])
+    held = _held(F.col("t"), F.col("hinted"))
     residual = F.when(F.col("boiler").isNotNull() & F.col("t").contains("\n"), F.array_join(F.filter(F.split("t", "\n"), lambda x: ~framing(x)), "\n")).otherwise(F.col("t"))
     judged = joined.withColumn("residual", F.when(held, residual)).select("k", F.explode(F.array(
         F.struct(F.lit(url).alias("field"), evidence_in_url(F.col("u")).alias("kind")),
         F.struct(F.lit(media).alias("field"), evidence_in_media_type(F.col("m")).alias("kind")),
         F.struct(F.lit(text).alias("field"), F.when(F.col("residual").isNotNull(), evidence_in_residual(F.col("residual"), content_words)).alias("kind")))).alias("f")).select("k", "f.*").filter("kind is not null")
-    learnt = recurrent_notices(rows.select("k", "h", "t"), content_words, hosts, unlike).select("k", F.lit(text).alias("field"), F.lit("notice").alias("kind"))
+    learnt = recurrent_notices(rows.select("k", "h", "t", "n"), content_words, hosts, unlike).select("k", F.lit(text).alias("field"), F.lit("notice").alias("kind"))
     both = judged.unionByName(learnt).groupBy("k", "field").agg(F.min_by("kind", F.when(F.col("kind") == "notice", 1).otherwise(0)).alias("kind"))
     return both.select(F.col("k").alias(key), "field", "kind")
 
@@ -182,18 +191,18 @@ def notice_scores(texts: DataFrame, content_words: int, hosts: int) -> DataFrame
 
 
 def recurrent_notices(texts: DataFrame, content_words: int, hosts: int, unlike: float) -> DataFrame:
-    """(k) of short texts at least half of whose words stand in lines learnt to be notices."""
-    counted = texts.filter("t <> ''").withColumn("n", F.size(_words(F.col("t"))))
+    """(k) of short texts (``k``, ``h``, ``t``, ``n`` words) at least half of whose words stand in lines learnt to be notices."""
+    counted = texts.filter("n > 0")
     learnt = notice_scores(counted, content_words, hosts).filter(F.col("score") >= unlike).select("line")
     short = counted.filter("n < %d and n > 0" % content_words).select("k", "n", F.explode(F.split(_masked(F.col("t")), "\n")).alias("line"))
     return short.join(learnt, "line").groupBy("k", "n").agg(F.sum(F.size(_words(F.col("line")))).alias("said")).filter("said * 2 >= n").select("k").distinct()
 
 
 def _boilerplate(texts: DataFrame, share: float, z: float) -> DataFrame:
-    """(``h``, ``boiler``): hashes of the lines that recur in different surroundings of texts (``h``, ``t``)."""
+    """(``h``, ``boiler``): hashes of the lines that recur in different surroundings of texts (``h``, ``t``, ``hinted``)."""
     # evidence is looked for line by line only where the text as a whole holds some
     lines = F.split("t", "\n")
-    first = F.when(F.col("t").contains("\n") & (_placeholder(F.col("t")) | _suspicious(F.col("t"), [*FILLER, *ERRORS, *SCRIPTS])),
+    first = F.when(F.col("t").contains("\n") & _held(F.col("t"), F.col("hinted")),
                    F.try_element_at(F.filter(lines, lambda x: evidence_in_line(x).isNotNull()), F.lit(1)))
     masked = F.array_distinct(F.split(_masked(F.col("t")), "\n"))
     longest = F.slice(F.array_sort(F.transform("lines_", lambda x: F.struct((-F.length(x)).alias("o"), F.xxhash64(x).alias("x")))), 1, 2)
