@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, functions as F
 #: Distinct n-grams of test items in one broadcast block (24 bytes each and their words). More items make more blocks.
 BLOCK_GRAMS = 4_000_000
 _WORD = re.compile(r"[^\W_]+")
+#: letters that folding takes apart into letters and marks, or makes of marks
+_PARTED = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0xFFFF)) if {x.isalnum() for x in c.casefold()} != {c.isalnum()}) + "]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str) -> list[str]:
     """Maximal runs of letters and digits as they are written, each case folded: folding may change letters, never the runs."""
-    if text.isascii():
-        return _WORD.findall(text.lower())
+    if text.isascii() or not _PARTED.search(text):
+        return _WORD.findall(text.casefold())
     return [w.casefold() for w in _WORD.findall(text)]
 
 
