@@ -168,6 +168,8 @@ def sentences(words: list[str]) -> list[list[str]]:
     before a number (``Sec. 1``).
     """
     out: list[list[str]] = [[]]
+    if not words:
+        return []
     for word, following in zip(words, [*words[1:], ""], strict=True):
         out[-1].append(word)
         end = word.rstrip("\"'”’)")
