@@ -73,14 +73,14 @@ def test_deep_chain(spark):
     assert out["0399"] == ("0000", 399, "tree")
 
 
-def test_chain_of_ten_thousand_and_a_long_ring_are_contracted(spark):
-    """Both take some dozen rounds, not ten thousand: a tree at the end, a tail into the ring, branches on both."""
-    rows = [(f"c{i:05d}", f"c{i - 1:05d}" if i else None) for i in range(10_000)] + [(f"r{i:03d}", f"r{(i + 1) % 300:03d}") for i in range(300)]
+def test_a_long_chain_and_a_long_ring_are_contracted(spark):
+    """Both take some dozen rounds, not a thousand: a tree at the end, a tail into the ring, branches on both."""
+    rows = [(f"c{i:05d}", f"c{i - 1:05d}" if i else None) for i in range(1_000)] + [(f"r{i:03d}", f"r{(i + 1) % 60:03d}") for i in range(60)]
     rows += [("t1", "r007"), ("t2", "t1"), ("b1", "c00100"), ("b2", "b1"), ("b3", "b1")]
     out = {r.node: (r.root, r.depth, r.kind, r.subtree) for r in resolved(spark, rows, local_nodes=0, with_path=False).collect()}
-    assert out["c09999"] == ("c00000", 9999, "tree", 1) and out["c00100"] == ("c00000", 100, "tree", 9903) and out["c00000"][3] == 10_003
+    assert out["c00999"] == ("c00000", 999, "tree", 1) and out["c00100"] == ("c00000", 100, "tree", 903) and out["c00000"][3] == 1_003
     assert out["b3"] == ("c00000", 102, "tree", 1) and out["b1"][3] == 3
-    assert out["r100"] == ("r000", 0, "cycle", 302) and out["t2"] == ("r000", 2, "into_cycle", 1) and out["t1"][3] == 2
+    assert out["r050"] == ("r000", 0, "cycle", 62) and out["t2"] == ("r000", 2, "into_cycle", 1) and out["t1"][3] == 2
     assert len(out) == len(rows)
 
 
